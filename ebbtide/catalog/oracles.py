@@ -121,8 +121,12 @@ def with_(tables: str, body: str) -> str:
 
 
 def hashed(key: str) -> str:
-    """The 60-bit row hash with seed 42."""
-    return f"CAST('0x' || substr(md5('42:' || {key}), 1, 15) AS BIGINT)"
+    """The row hash with seed 42."""
+    return f"md5('42:' || {key})"
+
+
+def hex_share(share: float) -> str:
+    return f"{int(share * 16**12):012x}"
 
 
 def sigmoid(z: str) -> str:
@@ -175,6 +179,14 @@ CUSTOMERS_SPLIT = (
 )
 
 
+def significant(x: str) -> str:
+    """Fewer decimals for larger magnitudes."""
+    return (
+        f"CASE WHEN abs({x}) < 1 THEN round({x}, 9) WHEN abs({x}) < 1000 THEN round({x}, 7) "
+        f"ELSE round({x}, 4) END"
+    )
+
+
 def stack(rows, names) -> str:
     """UNION ALL of literal-named rows from a one-row relation: ``rows`` is (source, values)."""
     return "\nUNION ALL\n".join(
@@ -190,8 +202,8 @@ def scaler_sql(source: str, features: list[str]) -> str:
             (
                 f"CAST({i} AS INT)",
                 f"'{c}'",
-                f"round(avg({c}), 6)",
-                f"round(CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END, 6)",
+                significant(f"avg({c})"),
+                significant(f"(CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END)"),
             ),
         )
         for i, c in enumerate(features)
@@ -232,7 +244,8 @@ report AS (
 
 def rounded_report(label: str) -> str:
     return f"""
-SELECT feature, round(train_mean, 6) AS train_mean, round(test_mean, 6) AS test_mean,
+SELECT feature, {significant("train_mean")} AS train_mean,
+       {significant("test_mean")} AS test_mean,
        round(standardized_mean_shift, 9) AS standardized_mean_shift,
        round(train_correlation_with_{label}, 9) AS train_correlation_with_{label},
        round(test_correlation_with_{label}, 9) AS test_correlation_with_{label},
@@ -282,15 +295,18 @@ def network_tables(source: str, features: list[str], scaler: str, kept: list[str
     return ",\n".join(steps)
 
 
-def statistics_table(name: str, source: str, features: list[str]) -> str:
-    stats = join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in features)
+def statistics_table(name: str, source: str, features: list[str], digits: int = 15) -> str:
+    stats = join(
+        f"round(avg({c}), {digits}) AS m_{c}, round(stddev_pop({c}), {digits}) AS s_{c}"
+        for c in features
+    )
     return f"{name} AS (SELECT {stats} FROM {source})"
 
 
 CUSTOMER_SCORES = ",\n".join(
     [
         FEATURED,
-        statistics_table("stats", "(SELECT * FROM features WHERE dataset = 'train')", FEATURES),
+        statistics_table("stats", "(SELECT * FROM features WHERE dataset = 'train')", FEATURES, 3),
         network_tables("features", FEATURES, "stats", ["customer_id", "churn", "dataset"], "churn"),
     ]
 )
@@ -298,7 +314,7 @@ _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdat
 LINE_NETWORK = ",\n".join(
     [
         LINES,
-        statistics_table("stats", "lines", LINE_FEATURES),
+        statistics_table("stats", "lines", LINE_FEATURES, 3),
         network_tables("lines", LINE_FEATURES, "stats", _LINE_KEYS, "returned"),
     ]
 )
@@ -441,8 +457,8 @@ ORACLES: dict[str, str] = {
     "split_orders_hash": with_(
         ORDERS_LABELLED,
         f"""SELECT o_orderkey, filled,
-              CASE WHEN h < {int((1.0 - 0.3) * 2**60)} THEN 'training'
-                   WHEN h < {int((1.0 - 0.3) * 2**60) + int(0.3 * 0.5 * 2**60)} THEN 'validation'
+              CASE WHEN h < '{hex_share(0.7)}' THEN 'training'
+                   WHEN h < '{hex_share(0.85)}' THEN 'validation'
                    ELSE 'internal_test' END AS split
             FROM (SELECT *, {hashed("CAST(o_orderkey AS VARCHAR)")} AS h FROM labelled)""",
     ),
@@ -461,7 +477,7 @@ ORACLES: dict[str, str] = {
         + statistics_table("stats", "(SELECT * FROM assigned WHERE split = 'training')", FEATURES),
         "SELECT customer_id, "
         + join(
-            f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 9) AS {c}"
+            f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}"
             for c in FEATURES
         )
         + ", churn, dataset FROM features, stats",
@@ -473,8 +489,9 @@ ORACLES: dict[str, str] = {
     ),
     "customer_profile": with_(
         FEATURED + "," + profile_tables("features", FEATURES, "churn"),
-        """SELECT dataset, feature, row_count, round(mean, 6) AS mean, round(std, 6) AS std,
-                  round(correlation, 9) AS correlation FROM profile""",
+        f"""SELECT dataset, feature, row_count, {significant("mean")} AS mean,
+                  {significant("std")} AS std, round(correlation, 9) AS correlation
+            FROM profile""",
     ),
     "label_correlations": with_(
         FEATURED + "," + profile_tables("features", FEATURES, "churn"),
@@ -493,14 +510,14 @@ ORACLES: dict[str, str] = {
     "shift_stored_profiles": with_(LINE_REPORT, rounded_report("returned")),
     "mlp_score": with_(
         CUSTOMER_SCORES,
-        """SELECT customer_id, churn, dataset, round(logit, 9) AS logit,
-                  round(probability, 9) AS probability, prediction, round(loss, 9) AS loss
+        """SELECT customer_id, churn, dataset, round(logit, 6) AS logit,
+                  round(probability, 6) AS probability, prediction, round(loss, 6) AS loss
            FROM scored""",
     ),
     "mlp_score_lineitem": with_(
         LINE_NETWORK,
-        f"""SELECT {join(_LINE_KEYS)}, round(logit, 9) AS logit,
-                  round(probability, 9) AS probability, prediction, round(loss, 9) AS loss
+        f"""SELECT {join(_LINE_KEYS)}, round(logit, 6) AS logit,
+                  round(probability, 6) AS probability, prediction, round(loss, 6) AS loss
            FROM scored""",
     ),
     "prediction_rates": with_(

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from ebbtide.operators.drift import (
     largest_changes,
     shift_report,
 )
-from ebbtide.operators.features import build_features, narrow
+from ebbtide.operators.features import narrow
 from ebbtide.operators.metrics import (
     METRICS,
     balanced_accuracy,
@@ -50,22 +51,17 @@ from ebbtide.operators.profile import (
 from ebbtide.operators.runs import metrics_flat, metrics_long, run_params, run_tags
 from ebbtide.operators.scale import fit_scaler, scaler_table
 from ebbtide.operators.score import score
-from ebbtide.operators.split import (
-    EXTERNAL_TEST,
-    TRAIN,
-    fit_split,
-    split_exact,
-    split_hash,
-    split_sizes,
-)
+from ebbtide.operators.split import TRAIN, split_exact, split_hash, split_sizes
 from ebbtide.operators.train import TrainConfig, ensure_checkpoint_dir
 from ebbtide.plans.training import train_and_evaluate
 from ebbtide.sources.readers import read_csv
-from ebbtide.spec import CHURN
+from ebbtide.spec import CHURN, DatasetSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 DIGITS = 9
+# Values of single rows: many of them, so further away from the last digits.
+ROW_DIGITS = 6
 RUN_ID = "run-1"
 # Tolerance on the absolute correlation change for the drift flag.
 DRIFT_TOLERANCE = 0.1
@@ -80,6 +76,18 @@ def rounded(df: DataFrame, columns: Sequence[str], digits: int = DIGITS) -> Data
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def significant(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fewer decimals for larger magnitudes, to stay clear of the last digits of a sum."""
+    size = {c: F.abs(F.col(c)) for c in columns}
+    tiers = {
+        c: F.when(size[c] < 1, F.round(c, 9))
+        .when(size[c] < 1000, F.round(c, 7))
+        .otherwise(F.round(c, 4))
+        for c in columns
+    }
+    return df.withColumns(tiers)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the checkpoints, which every executor can reach."""
     ensure_checkpoint_dir(spark)
@@ -201,13 +209,13 @@ def split_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = _split_customers(spark, sf_dir).filter(F.col("split") == TRAIN)
-    return rounded(scaler_table(training, CHURN.features), ["mean", "scale"], 6)
+    return significant(scaler_table(training, CHURN.features), ["mean", "scale"])
 
 
 @query
 def scaler_fit_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = scaler_table(order_line_features(spark, sf_dir), ORDER_LINES.features)
-    return rounded(stats, ["mean", "scale"], 6)
+    return significant(stats, ["mean", "scale"])
 
 
 @query
@@ -216,7 +224,7 @@ def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = customer_features(spark, sf_dir)
     training = _split_customers(spark, sf_dir).filter(F.col("split") == TRAIN)
     scaled = fit_scaler(training, CHURN.features).transform(rows)
-    return rounded(scaled, CHURN.features)
+    return rounded(scaled, CHURN.features, ROW_DIGITS)
 
 
 # --- drift -----------------------------------------------------------------------------------
@@ -229,7 +237,7 @@ def label_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded_profile(profile: DataFrame) -> DataFrame:
-    return rounded(rounded(profile, ["mean", "std"], 6), ["correlation"])
+    return rounded(significant(profile, ["mean", "std"]), ["correlation"])
 
 
 @query
@@ -246,7 +254,7 @@ def label_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rounded_report(report: DataFrame) -> DataFrame:
     means = ["train_mean", "test_mean"]
     rest = [c for c in report.columns if c not in ("feature", *means)]
-    return rounded(rounded(report, means, 6), rest)
+    return rounded(significant(report, means), rest)
 
 
 def customer_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,19 +318,19 @@ SCORES = ["logit", "probability", "loss"]
 
 @query
 def mlp_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_customer_scores(spark, sf_dir, "udf"), SCORES)
+    return rounded(_customer_scores(spark, sf_dir, "udf"), SCORES, ROW_DIGITS)
 
 
 @query
 def mlp_score_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_customer_scores(spark, sf_dir, "sql"), SCORES)
+    return rounded(_customer_scores(spark, sf_dir, "sql"), SCORES, ROW_DIGITS)
 
 
 @query
 def mlp_score_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = order_line_features(spark, sf_dir).drop("large", DATASET)
     scaler = fit_scaler(rows, ORDER_LINES.features)
-    return rounded(score(rows, rule_model(scaler), ORDER_LINES.label), SCORES)
+    return rounded(score(rows, rule_model(scaler), ORDER_LINES.label), SCORES, ROW_DIGITS)
 
 
 @query
@@ -462,22 +470,27 @@ def run_tags_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training --------------------------------------------------------------------------------
 
 
+def _trained(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Rows tagged train/external -> evaluation. Training reads its input several times, so it is
+    kept until the outcome is there."""
+    kept = rows.persist()
+    try:
+        known = kept.filter(F.col(DATASET) == "train").drop(DATASET)
+        external = kept.filter(F.col(DATASET) == "external").drop(DATASET)
+        return train_and_evaluate(known, external, spec, TrainConfig()).evaluation
+    finally:
+        kept.unpersist()
+
+
 @query
 def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on the training split of the known customers, evaluate on the other three sets."""
-    rows = customer_features(spark, sf_dir)
-    known = rows.filter(F.col(DATASET) == "train").drop(DATASET)
-    external = rows.filter(F.col(DATASET) == "external").drop(DATASET)
-    return train_and_evaluate(known, external, CHURN, TrainConfig()).evaluation
+    return _trained(customer_features(spark, sf_dir), CHURN)
 
 
 @query
 def train_mlp_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on order lines, with a label that follows from the features."""
-    from dataclasses import replace
-
-    spec = replace(ORDER_LINES, label="large")
-    rows = order_line_features(spark, sf_dir).withColumn("large", F.col("large").cast("double"))
-    known = rows.filter(F.col(DATASET) == "train").drop(DATASET, "returned")
-    external = rows.filter(F.col(DATASET) == "external").drop(DATASET, "returned")
-    return train_and_evaluate(known, external, spec, TrainConfig()).evaluation
+    rows = order_line_features(spark, sf_dir).drop("returned")
+    labelled = rows.withColumn("large", F.col("large").cast("double"))
+    return _trained(labelled, replace(ORDER_LINES, label="large"))

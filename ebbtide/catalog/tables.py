@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.functions.network import shapes
 from ebbtide.operators.clean import clean
 from ebbtide.operators.features import build_features
 from ebbtide.operators.scale import Scaler
@@ -122,9 +123,13 @@ def order_line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_model(scaler: Scaler, hidden: tuple[int, ...] = (32, 16)) -> Model:
-    """A model with weights from a rule, to compare scoring forms on given statistics."""
-    from ebbtide.functions.network import shapes
-
+    """A model with weights from a rule and statistics to 3 decimals, so that scores of single
+    rows can be compared across engines."""
+    scaler = Scaler(
+        scaler.features,
+        tuple(round(m, 3) for m in scaler.mean),
+        tuple(round(s, 3) for s in scaler.scale),
+    )
     layers = (len(scaler.features), *hidden, 1)
     weights = [
         ((i * 7 + j * 3 + depth) % 11 - 5) / 10

@@ -69,13 +69,10 @@ def key_text(keys: Iterable[str]) -> Column:
     return F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
 
 
-# Hash used by splitting: the first 15 hex digits (60 bits) of an MD5, as a non-negative BIGINT.
-HASH_BITS = 60
-
-
 def row_hash(text: Column, seed: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    """Seeded MD5 as 32 hex digits. Its text order is its numeric order, and its prefixes are
+    bins of equal width, so it is never turned into a number."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
 
 
 def upper_bound_index(value: Column, bounds: Column, n: int) -> list[tuple[str, Column]]:

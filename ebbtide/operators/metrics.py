@@ -70,9 +70,10 @@ def mean_loss(df: DataFrame, loss: str = "loss", by: Sequence[str] = ()) -> Data
 
 
 def _ranges(df: DataFrame) -> int:
-    """Number of score ranges: a power of two, at least the session's shuffle width."""
+    """Number of score ranges: a power of two, at least the session's shuffle width. Bounded,
+    because the quantile sketches grow with it."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << max(width - 1, 63).bit_length()
+    return 1 << min(max(width - 1, 63), 4095).bit_length()
 
 
 def cumulative_counts(
@@ -94,9 +95,11 @@ def cumulative_counts(
         F.sum(y).alias("positives"), F.sum(1 - y).alias("negatives"), *sums
     )
     n = _ranges(df)
-    bounds = scores.agg(
-        F.percentile_approx("score", [i / n for i in range(1, n)], max(10_000, 10 * n))
-    ).scalar()
+    # The bounds ask for every column of ``scores``: then the aggregate below them is the same one
+    # as in the rest of the plan, and its exchange runs once.
+    quantiles = F.percentile_approx("score", [i / n for i in range(1, n)], 4 * n)
+    others = [F.max(c).alias(c) for c in scores.columns if c not in ("group", "score")]
+    bounds = scores.agg(F.struct(quantiles.alias("bounds"), *others)).scalar()["bounds"]
     placed = scores
     steps = upper_bound_index(F.col("score"), bounds, n)
     for name, step in steps:

@@ -3,7 +3,7 @@
 Rows are ordered by a seeded hash of their key. Per label, each split takes a contiguous run of
 that order, so a split is fully described by one cut ``(hash, key)`` per label and boundary.
 Finding the cuts takes three narrow passes over key and label: a histogram of the leading hash
-bits, the same for the next bits inside the few bins that hold a cut, and a running count over
+digits, the same for the next digits inside the few bins that hold a cut, and a running count over
 the one remaining bin. What returns to the driver is bounded by bins x labels, whatever the
 number of rows. Assigning the split afterwards is a projection: no shuffle, no join.
 """
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import HASH_BITS, any_of, key_text, row_hash
+from ebbtide.functions.columns import any_of, key_text, row_hash
 
 # Split names, holdout share, share of the holdout kept for the internal test, seed.
 TRAIN, VALIDATION, INTERNAL_TEST, EXTERNAL_TEST = (
@@ -32,7 +32,8 @@ HOLDOUT = 0.30
 TEST_WITHIN_HOLDOUT = 0.50
 SEED = 42
 
-BIN_BITS = 12
+# Hex digits of the hash per histogram: 16^3 bins.
+BIN_DIGITS = 3
 MAX_LABELS = 64
 
 
@@ -42,7 +43,7 @@ class Cut:
 
     label: object
     boundary: int
-    hash: int
+    hash: str
     key: str
 
 
@@ -101,11 +102,10 @@ def quotas(
 
 
 def _bin(depth: int) -> Column:
-    shift = HASH_BITS - BIN_BITS * (depth + 1)
-    return F.shiftright(F.col("_hash"), shift)
+    return F.substring("_hash", 1, BIN_DIGITS * (depth + 1))
 
 
-def _locate(bins: Sequence[tuple[int, int]], rank: int) -> tuple[int, int]:
+def _locate(bins: Sequence[tuple[str, int]], rank: int) -> tuple[str, int]:
     """The bin holding the row of this rank (1-based), and the rank within it."""
     for position, size in sorted(bins):
         if rank <= size:
@@ -127,9 +127,9 @@ def fit_split(
     rows = df.select(F.col(label).alias("_label"), row_hash(text, seed).alias("_hash"), text.alias("_key"))
 
     # At most bins x labels rows; one more than that means the label is not a class label.
-    most = MAX_LABELS << BIN_BITS
+    most = MAX_LABELS * 16**BIN_DIGITS
     counted = rows.groupBy("_label", _bin(0).alias("_bin")).count().limit(most + 1).collect()
-    histogram: dict[object, list[tuple[int, int]]] = defaultdict(list)
+    histogram: dict[object, list[tuple[str, int]]] = defaultdict(list)
     for row in counted:
         histogram[row["_label"]].append((row["_bin"], row["count"]))
     if len(counted) > most or len(histogram) > MAX_LABELS:
@@ -151,8 +151,8 @@ def fit_split(
             for k, position in sorted({(k, position) for (k, _), (position, _) in open_cuts.items()})
         )
 
-    # Next bits, only inside the bins found above.
-    finer: dict[tuple[object, int], list[tuple[int, int]]] = defaultdict(list)
+    # Next digits, only inside the bins found above.
+    finer: dict[tuple[object, str], list[tuple[str, int]]] = defaultdict(list)
     fine = rows.filter(inside(0)).groupBy("_label", _bin(0).alias("_outer"), _bin(1).alias("_bin"))
     for row in fine.count().collect():
         finer[row["_label"], row["_outer"]].append((row["_bin"], row["count"]))
@@ -197,13 +197,14 @@ def split_hash(
     seed: int = SEED,
 ) -> DataFrame:
     """Approximate split by hash range: no pass over the data, stable as rows are appended."""
-    span = 2**HASH_BITS
+    digits = 12
+    span = 16**digits
     train = int((1.0 - holdout) * span)
     validation = train + int(holdout * (1.0 - test_within_holdout) * span)
     place = row_hash(key_text(keys), seed)
     split = (
-        F.when(F.col("_hash") < F.lit(train), TRAIN)
-        .when(F.col("_hash") < F.lit(validation), VALIDATION)
+        F.when(F.col("_hash") < F.lit(f"{train:0{digits}x}"), TRAIN)
+        .when(F.col("_hash") < F.lit(f"{validation:0{digits}x}"), VALIDATION)
         .otherwise(INTERNAL_TEST)
     )
     return df.withColumn("_hash", place).withColumn("split", split).drop("_hash")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions import network
-from ebbtide.functions.columns import cross_entropy, key_text, row_hash, sigmoid
+from ebbtide.functions.columns import cross_entropy, key_text, sigmoid
 from ebbtide.operators.metrics import evaluate
 from ebbtide.operators.scale import Scaler
 from ebbtide.operators.score import DEFAULT_THRESHOLD, Model, epoch_logits_udf
@@ -71,13 +71,13 @@ def shard_rows(
 ) -> DataFrame:
     """Float features and label, one partition per shard, in hash order, reliably checkpointed."""
     ensure_checkpoint_dir(scaled.sparkSession)
-    place = row_hash(key_text(keys), config.seed + 1)
-    spread = F.col("_place")
+    place = F.xxhash64(F.lit(config.seed), key_text(keys))
+    high, low = F.shiftrightunsigned("_place", 32), F.col("_place").bitwiseAND(0xFFFFFFFF)
     rows = scaled.select(
         place.alias("_place"), *[F.col(c).cast("float").alias(c) for c in (*features, label)]
     ).select(
-        (spread % F.lit(shards)).cast("int").alias("shard"),
-        (F.expr("_place div 8192") % F.lit(config.rounds_per_epoch)).cast("int").alias("slice"),
+        (high % shards).cast("int").alias("shard"),
+        (low % config.rounds_per_epoch).cast("int").alias("slice"),
         "_place",
         *features,
         label,
@@ -141,7 +141,8 @@ def _average(passes: DataFrame) -> tuple[np.ndarray, int]:
     sums = elements.groupBy("position").agg(
         F.sum(share).cast("double").alias("total"), F.sum("weight").alias("rows")
     )
-    rows = sums.orderBy("position").collect()  # as many rows as the model has numbers
+    # as many rows as the model has numbers
+    rows = sorted(sums.collect(), key=lambda r: r["position"])
     return np.array([r["total"] / r["rows"] for r in rows]), (rows[0]["rows"] if rows else 0)
 
 
