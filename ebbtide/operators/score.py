@@ -37,7 +37,10 @@ class Model:
         return self.scaler.features
 
 
-def _matrix(columns: Sequence[pa.Array]) -> np.ndarray:
+def _matrix(columns: tuple[pa.Array, ...] | pa.Array) -> np.ndarray:
+    """Rows by features; Spark hands over a bare array when there is one feature."""
+    if isinstance(columns, pa.Array):
+        columns = (columns,)
     return np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
 
 
