@@ -18,18 +18,22 @@ TOP = 10
 
 
 def _statistics(feature: str, label: str) -> dict[str, Column]:
-    """Mean, sample deviation and Pearson correlation with the label over complete pairs.
+    """Mean, sample deviation and Pearson correlation with the label; NULL features are left out,
+    the label is not NULL.
 
-    The correlation is built from its sums of squares, because the built-in one raises a division
-    error on a constant column in ANSI mode; here a constant column gives NULL.
+    The correlation is put together from its parts, because the built-in one raises a division
+    error on a constant column in ANSI mode; here a constant column gives NULL. The label's part
+    comes from plain sums, which are exact for 0 and 1.
     """
     x, y = F.col(feature), F.col(label)
-    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+    paired = F.when(x.isNotNull(), y)
+    n, total, squares = F.count(x), F.sum(paired), F.sum(paired * paired)
+    spread = F.sqrt(F.greatest(ratio(squares - total * ratio(total, n), n - 1), F.lit(0.0)))
     return {
-        "row_count": F.count(x),
+        "row_count": n,
         "mean": F.avg(x).cast("double"),
         "std": F.stddev_samp(x),
-        "correlation": ratio(F.regr_sxy(y, x), spread),
+        "correlation": ratio(F.covar_samp(x, y), F.stddev_samp(x) * spread),
     }
 
 

@@ -14,7 +14,6 @@ import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +33,10 @@ SEED = 42
 
 # Hex digits of the hash per histogram: 16^3 bins.
 BIN_DIGITS = 3
+# A bin of this many rows is ranked by one task; larger ones are divided further.
+RANKABLE = 1_000_000
+# Four histograms make 16^12 bins: what is still large then is one key with many copies.
+MAX_DEPTH = 3
 MAX_LABELS = 64
 
 
@@ -146,42 +149,45 @@ def fit_split(
         return SplitCuts(tuple(keys), label, seed, ())
 
     def inside(depth: int) -> Column:
-        return any_of(
-            (F.col("_label") == F.lit(k)) & (_bin(depth) == F.lit(position))
-            for k, position in sorted({(k, position) for (k, _), (position, _) in open_cuts.items()})
-        )
-
-    # Next digits, only inside the bins found above.
-    finer: dict[tuple[object, str], list[tuple[str, int]]] = defaultdict(list)
-    fine = rows.filter(inside(0)).groupBy("_label", _bin(0).alias("_outer"), _bin(1).alias("_bin"))
-    for row in fine.count().collect():
-        finer[row["_label"], row["_outer"]].append((row["_bin"], row["count"]))
-    open_cuts = {
-        (k, boundary): _locate(finer[k, position], rank)
-        for (k, boundary), (position, rank) in open_cuts.items()
-    }
-
-    # The last bin holds about 1 row in 2^24 per label: a running count over its distinct keys,
-    # and of each cut the first key that reaches the rank.
-    small = rows.filter(inside(1)).groupBy("_label", _bin(1).alias("_bin"), "_hash", "_key").count()
+        bins = sorted({(k, position) for (k, _), (position, _) in open_cuts.items()})
+        return any_of((F.col("_label") == F.lit(k)) & (_bin(depth) == F.lit(p)) for k, p in bins)
+
+    # Next digits, only inside the bins found so far, until a bin is small enough to rank.
+    depth = 0
+    held = {(k, p): n for k, bins in histogram.items() for p, n in bins}
+    while depth < MAX_DEPTH and max(held[k, p] for (k, _), (p, _) in open_cuts.items()) > RANKABLE:
+        outer, inner = _bin(depth).alias("_outer"), _bin(depth + 1).alias("_bin")
+        finer: dict[tuple[object, str], list[tuple[str, int]]] = defaultdict(list)
+        held = {}
+        for row in rows.filter(inside(depth)).groupBy("_label", outer, inner).count().collect():
+            finer[row["_label"], row["_outer"]].append((row["_bin"], row["count"]))
+            held[row["_label"], row["_bin"]] = row["count"]
+        open_cuts = {
+            (k, boundary): _locate(finer[k, position], rank)
+            for (k, boundary), (position, rank) in open_cuts.items()
+        }
+        depth += 1
+
+    # A running count over the distinct keys of each bin; copies of a key are one entry. Of each
+    # cut the one entry that reaches its rank comes back.
+    entries = rows.filter(inside(depth)).withColumn("_bin", _bin(depth))
+    entries = entries.groupBy("_label", "_bin", "_hash", "_key").count()
     in_order = Window.partitionBy("_label", "_bin").orderBy("_hash", "_key")
-    running = small.withColumn("_upto", F.sum("count").over(in_order))
-    reached = [
-        running.filter(
-            (F.col("_label") == F.lit(k))
-            & (F.col("_bin") == F.lit(position))
-            & (F.col("_upto") >= F.lit(rank))
-            & (F.col("_upto") - F.col("count") < F.lit(rank))
-        ).select("_label", F.lit(boundary).alias("_boundary"), "_hash", "_key")
+    upto = F.sum("count").over(in_order)
+    running = entries.withColumns({"_upto": upto, "_before": upto - F.col("count")})
+
+    def reaches(k: object, position: str, rank: int) -> Column:
+        here = (F.col("_label") == F.lit(k)) & (F.col("_bin") == F.lit(position))
+        return here & (F.col("_before") < F.lit(rank)) & (F.col("_upto") >= F.lit(rank))
+
+    hits = any_of(reaches(k, position, rank) for (k, _), (position, rank) in open_cuts.items())
+    cuts = [
+        Cut(k, boundary, row["_hash"], row["_key"])
+        for row in running.filter(hits).collect()
         for (k, boundary), (position, rank) in open_cuts.items()
+        if (row["_label"], row["_bin"]) == (k, position) and row["_before"] < rank <= row["_upto"]
     ]
-    cuts = reduce(DataFrame.unionByName, reached).collect()
-    return SplitCuts(
-        tuple(keys),
-        label,
-        seed,
-        tuple(Cut(r["_label"], r["_boundary"], r["_hash"], r["_key"]) for r in cuts),
-    )
+    return SplitCuts(tuple(keys), label, seed, tuple(cuts))
 
 
 def split_exact(df: DataFrame, keys: Sequence[str], label: str, **options: object) -> DataFrame:

@@ -46,6 +46,11 @@ def shard_count(rows: int, config: TrainConfig) -> int:
     return max(1, min(config.max_shards, rows // (config.batches_per_shard * config.batch_size)))
 
 
+def rounds(shards: int, config: TrainConfig) -> int:
+    """With one shard there is nothing to average, so an epoch is one round."""
+    return config.rounds_per_epoch if shards > 1 else 1
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder of ``spark.checkpoint.dir``; only a local session may do without."""
     context = spark.sparkContext
@@ -77,7 +82,7 @@ def shard_rows(
         place.alias("_place"), *[F.col(c).cast("float").alias(c) for c in (*features, label)]
     ).select(
         (high % shards).cast("int").alias("shard"),
-        (low % config.rounds_per_epoch).cast("int").alias("slice"),
+        (low % rounds(shards, config)).cast("int").alias("slice"),
         "_place",
         *features,
         label,
@@ -155,8 +160,10 @@ class Training:
     losses: tuple[float, ...]
 
 
-def train(shards: DataFrame, features: Sequence[str], config: TrainConfig) -> Training:
-    """Run all epochs over the shards of ``shard_rows``."""
+def train(
+    shards: DataFrame, features: Sequence[str], config: TrainConfig, parts: int
+) -> Training:
+    """Run all epochs over the shards of ``shard_rows``, each in ``parts`` rounds."""
     layers = (len(features), *config.hidden, 1)
     state = network.Adam.start(network.initial_weights(layers, config.seed))
     count = (len(state) - 1) // 3
@@ -166,7 +173,7 @@ def train(shards: DataFrame, features: Sequence[str], config: TrainConfig) -> Tr
     try:
         for epoch in range(1, config.epochs + 1):
             loss, seen = 0.0, 0
-            for part in range(config.rounds_per_epoch):
+            for part in range(parts):
                 step = _local_pass(state, layers, epoch, part, config)
                 passes = (
                     rows.filter(F.col("slice") == part)

@@ -15,6 +15,7 @@ from ebbtide.operators.train import (
     TrainConfig,
     epoch_history,
     pick_model,
+    rounds,
     shard_count,
     shard_rows,
     train,
@@ -55,15 +56,10 @@ def train_and_evaluate(
 
     training_rows = tagged.filter(F.col("split") == TRAIN).drop("split")
     scaler = fit_scaler(training_rows, spec.features)
-    shards = shard_rows(
-        scaler.transform(training_rows),
-        spec.keys,
-        spec.features,
-        spec.label,
-        shard_count(rows.get(TRAIN, 0), config),
-        config,
-    )
-    fitted = train(shards, spec.features, config)
+    count = shard_count(rows.get(TRAIN, 0), config)
+    scaled = scaler.transform(training_rows)
+    shards = shard_rows(scaled, spec.keys, spec.features, spec.label, count, config)
+    fitted = train(shards, spec.features, config, rounds(count, config))
 
     validation = tagged.filter(F.col("split") == VALIDATION)
     history = _materialised(epoch_history(validation, fitted, scaler, spec.label, config))

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.operators import split
 from ebbtide.operators.split import fit_split, quotas, split_exact, split_hash, split_sizes
 
 
@@ -25,13 +26,13 @@ def test_published_sizes():
 def test_exact_quotas(spark, n):
     rows = labelled(spark, n)
     counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    split = split_exact(rows, ["id"], "y")
-    got = sizes(split, "y")
+    out = split_exact(rows, ["id"], "y")
+    got = sizes(out, "y")
     for y, (train, validation) in quotas(counts).items():
         rest = counts[y] - train - validation
         want = {"training": train, "validation": validation, "internal_test": rest}
         assert {s: got.get((s, y), 0) for s in want} == want
-    assert split.select("id").distinct().count() == n == split.count()
+    assert out.select("id").distinct().count() == n == out.count()
 
 
 def test_does_not_depend_on_partitions(spark):
@@ -43,6 +44,14 @@ def test_does_not_depend_on_partitions(spark):
     assert seen[0] == seen[1] == seen[2]
 
 
+def test_deeper_bins_give_the_same_cuts(spark, monkeypatch):
+    rows = labelled(spark, 6000)
+    flat = fit_split(rows, ["id"], "y")
+    for most in (3, 0):
+        monkeypatch.setattr(split, "RANKABLE", most)
+        assert sorted(map(str, fit_split(rows, ["id"], "y").cuts)) == sorted(map(str, flat.cuts))
+
+
 def test_seed_changes_membership(spark):
     rows = labelled(spark, 1000)
     a, b = (split_exact(rows, ["id"], "y", seed=s) for s in (1, 2))
@@ -54,9 +63,9 @@ def test_hot_duplicate_key_stays_on_one_side(spark):
     rows = labelled(spark, 2000).unionByName(
         spark.range(1000).select(F.lit(7).cast("long").alias("id"), F.lit(1).alias("y"))
     )
-    split = split_exact(rows, ["id"], "y")
-    assert split.filter("id = 7 and y = 1").select("split").distinct().count() == 1
-    assert split.count() == 3000
+    out = split_exact(rows, ["id"], "y")
+    assert out.filter("id = 7 and y = 1").select("split").distinct().count() == 1
+    assert out.count() == 3000
 
 
 def test_cuts_apply_to_new_rows(spark):
@@ -78,9 +87,9 @@ def test_a_label_must_be_a_class(spark):
 
 
 def test_hash_mode(spark):
-    split = split_hash(labelled(spark, 20_000), ["id"])
-    got = sizes(split)
+    out = split_hash(labelled(spark, 20_000), ["id"])
+    got = sizes(out)
     assert abs(got["training",] / 20_000 - 0.7) < 0.02
     assert abs(got["validation",] / 20_000 - 0.15) < 0.02
     more = split_hash(labelled(spark, 30_000), ["id"]).filter("id < 20000")
-    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, split.collect()))
+    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, out.collect()))

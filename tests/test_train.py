@@ -86,12 +86,12 @@ def _shards(lines, config, shards):
 def test_same_seed_same_weights_whatever_the_input_partitions(lines):
     config = TrainConfig(epochs=1, batch_size=256, rounds_per_epoch=2)
     seen = [
-        train(_shards(lines.repartition(p), config, 3), LINES.features, config).snapshots
+        train(_shards(lines.repartition(p), config, 3), LINES.features, config, 2).snapshots
         for p in (1, 7)
     ]
     assert seen[0] == seen[1]
     other = replace(config, seed=7)
-    assert train(_shards(lines, other, 3), LINES.features, other).snapshots != seen[0]
+    assert train(_shards(lines, other, 3), LINES.features, other, 2).snapshots != seen[0]
 
 
 def test_shards_hold_every_row_once(lines):
