@@ -54,7 +54,7 @@ from ebbtide.operators.score import score
 from ebbtide.operators.split import TRAIN, split_exact, split_hash, split_sizes
 from ebbtide.operators.train import TrainConfig, ensure_checkpoint_dir
 from ebbtide.plans.training import train_and_evaluate
-from ebbtide.sources.readers import read_csv
+from ebbtide.sources.readers import read_csv, spread
 from ebbtide.spec import CHURN, DatasetSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,4 +493,4 @@ def train_mlp_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on order lines, with a label that follows from the features."""
     rows = order_line_features(spark, sf_dir).drop("returned")
     labelled = rows.withColumn("large", F.col("large").cast("double"))
-    return _trained(labelled, replace(ORDER_LINES, label="large"))
+    return _trained(spread(labelled), replace(ORDER_LINES, label="large"))

@@ -100,11 +100,10 @@ def cumulative_counts(
     quantiles = F.percentile_approx("score", [i / n for i in range(1, n)], 4 * n)
     others = [F.max(c).alias(c) for c in scores.columns if c not in ("group", "score")]
     bounds = scores.agg(F.struct(quantiles.alias("bounds"), *others)).scalar()["bounds"]
-    placed = scores
-    steps = upper_bound_index(F.col("score"), bounds, n)
-    for name, step in steps:
-        placed = placed.withColumn(name, step)
-    placed = placed.withColumnRenamed(steps[-1][0], "range").drop(*[s for s, _ in steps[:-1]])
+    # each search step refers to the alias of the one before
+    steps = upper_bound_index(F.col("score"), F.col("_bounds"), n)
+    searched = scores.select("*", bounds.alias("_bounds"), *[c.alias(name) for name, c in steps])
+    placed = searched.select(*scores.columns, F.col(steps[-1][0]).alias("range"))
 
     totals = placed.groupBy("group", "range").agg(
         F.sum("positives").alias("_p"), F.sum("negatives").alias("_n")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ class TrainConfig:
     seed: int = 42
     # Parallel regime. A shard needs enough mini-batches per epoch, or averaging costs quality.
     batches_per_shard: int = 32
-    max_shards: int = 8192
+    max_shards: int = 16_384
     rounds_per_epoch: int = 4
     shuffle_batches: int = 32
 
@@ -169,7 +170,8 @@ def train(
     count = (len(state) - 1) // 3
     columns = [c for c in shards.columns if c != "slice"]
     snapshots, losses = [], []
-    rows = shards.persist()
+    # What does not fit in memory is read from the checkpoint again.
+    rows = shards.persist(StorageLevel.MEMORY_ONLY)
     try:
         for epoch in range(1, config.epochs + 1):
             loss, seen = 0.0, 0

@@ -71,11 +71,15 @@ def run_features(
     spec: DatasetSpec,
     files: int | None = None,
     rows_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> FeatureReport:
     """Cleaned Parquet to feature Parquet: scan, projection and write in one stage, with the row
-    count and the NULL audit observed on the way."""
+    count and the NULL audit observed on the way. ``rebalance`` lets Spark even out the file
+    sizes, at the price of an exchange; the audit then happens after it."""
     rows = read_parquet(spark, source)
     features = build_features(rows, spec)
+    if rebalance:
+        features = features.hint("rebalance")
     audit = Observation()
     count = F.count(F.lit(1)).alias("_rows")
     observed = features.observe(audit, count, *null_counts(features.columns))

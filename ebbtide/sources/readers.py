@@ -30,6 +30,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer input splits than the session has cores, dealt out over the cores. A scan
+    with enough splits is left alone, so nothing large is moved."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     absent = [c for c in columns if c not in df.columns]
     if absent:
