@@ -89,9 +89,13 @@ def cumulative_counts(
     The group columns come back as one struct ``group``; structs compare equal on NULL fields,
     so rows of a NULL group are not lost in the join.
     """
-    y = F.col(label).cast("bigint")
+    y, ranked_by = F.col(label).cast("bigint"), F.col(score).cast("double")
+    # a row that cannot be ranked is an error, not a row less
+    unranked = y.isNull() | ranked_by.isNull() | F.isnan(ranked_by)
+    problem = F.raise_error(F.lit(f"NULL or NaN in {label} or {score}")).cast("double")
     group = F.struct(*by) if by else F.lit(0)
-    scores = df.groupBy(group.alias("group"), F.col(score).alias("score")).agg(
+    rows = df.withColumn("_score", F.when(unranked, problem).otherwise(ranked_by))
+    scores = rows.groupBy(group.alias("group"), F.col("_score").alias("score")).agg(
         F.sum(y).alias("positives"), F.sum(1 - y).alias("negatives"), *sums
     )
     n = _ranges(df)

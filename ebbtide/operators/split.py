@@ -137,6 +137,8 @@ def fit_split(
         histogram[row["_label"]].append((row["_bin"], row["count"]))
     if len(counted) > most or len(histogram) > MAX_LABELS:
         raise ValueError(f"{label} has more than {MAX_LABELS} values: not a class label")
+    if None in histogram:
+        raise ValueError(f"NULL values in: {label}")
     sizes = {k: sum(n for _, n in bins) for k, bins in sorted(histogram.items())}
 
     # (label, boundary) -> bin and rank within it, for the boundaries that have rows before them

@@ -77,7 +77,8 @@ def shard_rows(
 ) -> DataFrame:
     """Float features and label, one partition per shard, in hash order, reliably checkpointed."""
     ensure_checkpoint_dir(scaled.sparkSession)
-    place = F.xxhash64(F.lit(config.seed), key_text(keys))
+    # the values take part, so that copies of one key do not pile up in one shard
+    place = F.xxhash64(F.lit(config.seed), key_text(keys), *features, label)
     high, low = F.shiftrightunsigned("_place", 32), F.col("_place").bitwiseAND(0xFFFFFFFF)
     rows = scaled.select(
         place.alias("_place"), *[F.col(c).cast("float").alias(c) for c in (*features, label)]

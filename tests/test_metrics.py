@@ -107,6 +107,13 @@ def test_null_group_is_kept(spark):
     }
 
 
+@pytest.mark.parametrize("row", [(None, 1), (float("nan"), 1), (0.3, None)])
+def test_rows_that_cannot_be_ranked_are_refused(spark, row):
+    df = spark.createDataFrame([(0.1, 0), (0.9, 1), row], "score double, y int")
+    with pytest.raises(Exception, match="NULL or NaN"):
+        ranking_metrics(df, "y", "score").collect()
+
+
 def test_threshold_edges(spark):
     df = frame(spark, [0.1, 0.2], [0, 1]).withColumn("p", decision(F.col("score")))
     r = threshold_metrics(df, "y", "p").first()

@@ -86,6 +86,12 @@ def test_a_label_must_be_a_class(spark):
         fit_split(spark.range(200).withColumn("y", F.col("id")), ["id"], "y")
 
 
+def test_a_null_label_is_refused(spark):
+    rows = labelled(spark, 20).withColumn("y", F.when(F.col("id") > 3, F.col("y")))
+    with pytest.raises(ValueError, match="NULL"):
+        fit_split(rows, ["id"], "y")
+
+
 def test_hash_mode(spark):
     out = split_hash(labelled(spark, 20_000), ["id"])
     got = sizes(out)
