@@ -54,7 +54,8 @@ from ebbtide.operators.score import score
 from ebbtide.operators.split import TRAIN, split_exact, split_hash, split_sizes
 from ebbtide.operators.train import TrainConfig, ensure_checkpoint_dir
 from ebbtide.plans.training import train_and_evaluate
-from ebbtide.sources.readers import read_csv, spread
+from ebbtide.sources.readers import read_csv, read_parquet, spread
+from ebbtide.sources.writers import write_parquet
 from ebbtide.spec import CHURN, DatasetSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +95,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written and read back, as between two stages: for what takes several passes."""
+    return read_parquet(df.sparkSession, write_parquet(df, scratch(df.sparkSession, name)))
+
+
 # --- cleaning and features -------------------------------------------------------------------
 
 
@@ -180,8 +186,7 @@ def _labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", filled)
 
 
-def _split_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = customer_features(spark, sf_dir)
+def _split_customers(rows: DataFrame) -> DataFrame:
     known = rows.filter(F.col(DATASET) == "train")
     return split_exact(known, CHURN.keys, CHURN.label)
 
@@ -203,12 +208,14 @@ def split_orders_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_customers(spark, sf_dir).select("customer_id", "churn", "split")
+    rows = stored(customer_features(spark, sf_dir), "features")
+    return _split_customers(rows).select("customer_id", "churn", "split")
 
 
 @query
 def scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = _split_customers(spark, sf_dir).filter(F.col("split") == TRAIN)
+    rows = stored(customer_features(spark, sf_dir), "features")
+    training = _split_customers(rows).filter(F.col("split") == TRAIN)
     return significant(scaler_table(training, CHURN.features), ["mean", "scale"])
 
 
@@ -221,8 +228,8 @@ def scaler_fit_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customer features, scaled with the statistics of the training split."""
-    rows = customer_features(spark, sf_dir)
-    training = _split_customers(spark, sf_dir).filter(F.col("split") == TRAIN)
+    rows = stored(customer_features(spark, sf_dir), "features")
+    training = _split_customers(rows).filter(F.col("split") == TRAIN)
     scaled = fit_scaler(training, CHURN.features).transform(rows)
     return rounded(scaled, CHURN.features, ROW_DIGITS)
 
@@ -295,7 +302,7 @@ def shift_stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_scores(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
-    rows = customer_features(spark, sf_dir)
+    rows = stored(customer_features(spark, sf_dir), "features")
     scaler = fit_scaler(rows.filter(F.col(DATASET) == "train"), CHURN.features)
     return score(rows, rule_model(scaler), CHURN.label, form)
 
@@ -471,15 +478,11 @@ def run_tags_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Rows tagged train/external -> evaluation. Training reads its input several times, so it is
-    kept until the outcome is there."""
-    kept = rows.persist()
-    try:
-        known = kept.filter(F.col(DATASET) == "train").drop(DATASET)
-        external = kept.filter(F.col(DATASET) == "external").drop(DATASET)
-        return train_and_evaluate(known, external, spec, TrainConfig()).evaluation
-    finally:
-        kept.unpersist()
+    """Rows tagged train/external -> evaluation."""
+    table_rows = stored(rows, "features")
+    known = table_rows.filter(F.col(DATASET) == "train").drop(DATASET)
+    external = table_rows.filter(F.col(DATASET) == "external").drop(DATASET)
+    return train_and_evaluate(known, external, spec, TrainConfig()).evaluation
 
 
 @query
