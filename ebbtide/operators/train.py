@@ -68,28 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def shard_rows(
-    scaled: DataFrame,
+    rows: DataFrame,
     keys: Sequence[str],
-    features: Sequence[str],
+    scaler: Scaler,
     label: str,
     shards: int,
     config: TrainConfig,
 ) -> DataFrame:
-    """Float features and label, one partition per shard, in hash order, reliably checkpointed."""
-    ensure_checkpoint_dir(scaled.sparkSession)
+    """Standardised float features and label, one partition per shard, in hash order, reliably
+    checkpointed. The hash is taken before scaling: the statistics may differ in the last digit
+    from run to run, the stored values do not."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    features = scaler.features
     # the values take part, so that copies of one key do not pile up in one shard
     place = F.xxhash64(F.lit(config.seed), key_text(keys), *features, label)
+    scaled = scaler.transform(rows.select(place.alias("_place"), *features, label))
     high, low = F.shiftrightunsigned("_place", 32), F.col("_place").bitwiseAND(0xFFFFFFFF)
-    rows = scaled.select(
-        place.alias("_place"), *[F.col(c).cast("float").alias(c) for c in (*features, label)]
-    ).select(
+    narrow = scaled.select(
         (high % shards).cast("int").alias("shard"),
         (low % rounds(shards, config)).cast("int").alias("slice"),
         "_place",
-        *features,
-        label,
+        *[F.col(c).cast("float").alias(c) for c in (*features, label)],
     )
-    placed = rows.repartitionById(shards, F.col("shard"))
+    placed = narrow.repartitionById(shards, F.col("shard"))
     ordered = placed.sortWithinPartitions("slice", "_place", *features, label)
     return ordered.drop("_place").checkpoint()
 

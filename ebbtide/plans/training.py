@@ -57,8 +57,7 @@ def train_and_evaluate(
     training_rows = tagged.filter(F.col("split") == TRAIN).drop("split")
     scaler = fit_scaler(training_rows, spec.features)
     count = shard_count(rows.get(TRAIN, 0), config)
-    scaled = scaler.transform(training_rows)
-    shards = shard_rows(scaled, spec.keys, spec.features, spec.label, count, config)
+    shards = shard_rows(training_rows, spec.keys, scaler, spec.label, count, config)
     fitted = train(shards, spec.features, config, rounds(count, config))
 
     validation = tagged.filter(F.col("split") == VALIDATION)

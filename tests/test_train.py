@@ -79,8 +79,7 @@ def test_default_threshold_is_inclusive(spark):
 
 def _shards(lines, config, shards):
     rows = lines.filter("dataset = 'train'").drop("dataset")
-    scaled = fit_scaler(rows, LINES.features).transform(rows)
-    return shard_rows(scaled, LINES.keys, LINES.features, "large", shards, config)
+    return shard_rows(rows, LINES.keys, fit_scaler(rows, LINES.features), "large", shards, config)
 
 
 def test_same_seed_same_weights_whatever_the_input_partitions(lines):
@@ -94,6 +93,15 @@ def test_same_seed_same_weights_whatever_the_input_partitions(lines):
     assert train(_shards(lines, other, 3), LINES.features, other, 2).snapshots != seen[0]
 
 
+def test_copies_of_one_key_are_dealt_out(lines):
+    one_key = lines.withColumns({"l_orderkey": F.lit(7).cast("long"), "l_linenumber": F.lit(1).cast("long")})
+    spec_keys = ("l_orderkey", "l_linenumber")
+    scaler = fit_scaler(lines, LINES.features)
+    shards = shard_rows(one_key, spec_keys, scaler, "large", 4, TrainConfig())
+    sizes = [r["count"] for r in shards.groupBy("shard").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
+
+
 def test_shards_hold_every_row_once(lines):
     config = TrainConfig()
     shards = _shards(lines, config, 5)
