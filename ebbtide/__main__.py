@@ -78,7 +78,7 @@ def main() -> None:
 
     def stage(run, *required: str) -> argparse.ArgumentParser:
         sub = stages.add_parser(run.__name__)
-        sub.set_defaults(run=run)
+        sub.set_defaults(stage=run)
         for name in required:
             sub.add_argument(f"--{name}", required=True)
         return sub
@@ -94,7 +94,7 @@ def main() -> None:
     tracking = stage(record, "run", "run-id", "tables")
     tracking.add_argument("--report")
     arguments = parser.parse_args()
-    arguments.run(SparkSession.builder.appName("ebbtide").getOrCreate(), arguments)
+    arguments.stage(SparkSession.builder.appName("ebbtide").getOrCreate(), arguments)
 
 
 if __name__ == "__main__":
