@@ -28,9 +28,16 @@ def shared_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Computed now and kept in the shared folder: survives lost executors, and is not computed
     again by each consumer. ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes it when
-    no frame refers to it any more."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    no frame refers to it any more.
+
+    What was shuffled on the way is of no more use then. Spark deletes it when the driver's garbage
+    collector finds that out, so that is asked for here and does not wait for a full heap."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    kept = df.checkpoint()
+    del df
+    spark._jvm.System.gc()
+    return kept
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

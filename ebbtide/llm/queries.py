@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm.common import scratch_path, table
+from ebbtide.llm.language import language_report
+from ebbtide.llm.minhash import NearConfig, near_duplicates
 from ebbtide.llm.mixing import mix_documents
 from ebbtide.llm.packing import pack_documents
+from ebbtide.llm.secrets import secret_report
 from ebbtide.llm.warc import round_trip
 
 
@@ -22,4 +25,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_packing, op2_warc, op6_mixing)}
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearConfig(shingle=2))
+
+
+QUERIES = {q.__name__: q for q in (op1_packing, op2_warc, op6_mixing, op7_language, op8_secrets, op9_minhash)}
