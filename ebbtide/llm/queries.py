@@ -18,7 +18,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), gzip=True)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
