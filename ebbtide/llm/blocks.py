@@ -53,38 +53,55 @@ def blocked(rows: DataFrame, order: list[Column], group_type: str, most: int) ->
     return ranged.select("grp", "id", "data").mapInArrow(gather, BLOCK.format(group=group_type))
 
 
-def visited(blocks: DataFrame, pairs: DataFrame, visit: Visit, schema: str) -> DataFrame:
-    """``visit(host_ids, host_data, ids, data, same)`` for every row of ``pairs(grp, host, block)``;
-    it yields columns of ``schema``, whose fields are long, double or binary."""
+def visited(
+    hosts: DataFrame, guests: DataFrame, pairs: DataFrame, visit: Visit, schema: str
+) -> DataFrame:
+    """``visit(host_ids, host_data, ids, data, same)`` for every row of ``pairs(grp, host, guest_grp,
+    block)``; it yields columns of ``schema``, whose fields are long or double. ``same`` says that the
+    names of host and guest are equal."""
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "double": pa.float64()}
     types = [kinds[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, host_ids, host_data = None, np.zeros(0, np.int64), b""
         for batch in batches:
             for row in range(batch.num_rows):
-                at, kind, block = (batch.column(i)[row].as_py() for i in range(1, 4))
-                key = (batch.column(0)[row].as_py(), at)
+                group, at, guest_group, guest = (batch.column(i)[row].as_py() for i in range(4))
                 ids = np.frombuffer(batch.column(4)[row].as_buffer(), np.int64)
                 data = batch.column(5)[row].as_buffer()
-                if kind == 0:
-                    host, host_ids, host_data = key, ids.copy(), data.to_pybytes()
+                if guest is None:
+                    host, host_ids, host_data = (group, at), ids.copy(), data.to_pybytes()
                     continue
-                if key != host:
-                    raise RuntimeError("a visitor came before its host")
-                for out in visit(host_ids, host_data, ids, data, block == at):
+                if (group, at) != host:
+                    raise RuntimeError("a guest came before its host")
+                for out in visit(host_ids, host_data, ids, data, (guest_group, guest) == host):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[n], t) for n, t in zip(names, types, strict=True)],
                         names=names,
                     )
 
-    hosts = blocks.join(
-        pairs.select("grp", F.col("host").alias("block")).distinct(), ["grp", "block"], "left_semi"
-    ).select("grp", F.col("block").alias("host"), F.lit(0).alias("kind"), "block", "ids", "data")
-    guests = pairs.join(blocks, ["grp", "block"]).select(
-        "grp", "host", F.lit(1).alias("kind"), "block", "ids", "data"
+    called = pairs.select("grp", F.col("host").alias("block")).distinct()
+    none = F.lit(None)
+    home = hosts.join(called, ["grp", "block"], "left_semi").select(
+        "grp",
+        F.col("block").alias("host"),
+        none.cast(pairs.schema["guest_grp"].dataType).alias("guest_grp"),
+        none.cast("long").alias("block"),
+        "ids",
+        "data",
     )
-    order = ["grp", "host", "kind", "block"]
-    met = hosts.unionByName(guests).repartition("grp", "host").sortWithinPartitions(*order)
-    return met.mapInArrow(run, schema)
+    own = guests.select(F.col("grp").alias("guest_grp"), "block", "ids", "data")
+    away = pairs.join(own, ["guest_grp", "block"]).select(home.columns)
+    met = home.unionByName(away).repartition("grp", "host")
+    ordered = met.sortWithinPartitions(
+        "grp", "host", F.col("block").asc_nulls_first(), F.col("guest_grp").asc_nulls_first()
+    )
+    return ordered.mapInArrow(run, schema)
+
+
+def met_within(blocks: DataFrame) -> DataFrame:
+    """All pairs of blocks of one group, each once, and every block with itself."""
+    names = blocks.select("grp", "block")
+    met = names.withColumnRenamed("block", "host").join(names, "grp").filter("host <= block")
+    return met.withColumn("guest_grp", F.col("grp"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.blocks import blocked, visited
+from ebbtide.llm.blocks import blocked, met_within, visited
 from ebbtide.llm.common import components, durable, mixed, slices, text_bytes
 
 REGISTERS = 128
@@ -98,10 +98,10 @@ def shingle_sets(
     for i in np.flatnonzero(counts):
         a, b = ends[i] - counts[i], ends[i]
         if counts[i] < shingle:  # the whole sequence as one, told apart by its length
-            whole = words[a]
+            whole = words[a : a + 1]
             for j in range(a + 1, b):
-                whole = mixed(np.array([whole * _CHAIN + words[j]]))[0]
-            own = mixed(np.array([whole ^ np.uint64(counts[i])]))
+                whole = mixed(whole * _CHAIN + words[j : j + 1])
+            own = mixed(whole ^ np.uint64(counts[i]))
         else:
             own = np.unique(hashes[a:b][full[a:b]])
         out.append(own)
@@ -306,8 +306,6 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
             config.block,
         )
     )
-    names = blocks.select("grp", "block")
-    met = names.withColumnRenamed("block", "host").join(names, "grp").filter("host <= block")
     width = REGISTERS * 2 + 16
 
     def compare(host_ids, host_data, ids, data, same):
@@ -334,7 +332,7 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
                         "b": np.maximum(ids[at], host_ids[i]),
                     }
 
-    late = visited(blocks, met, compare, "a long, b long").distinct()
+    late = visited(blocks, blocks, met_within(blocks), compare, "a long, b long").distinct()
     failed_or_done = candidates.select("a", "b")
     late = durable(late.join(failed_or_done, ["a", "b"], "left_anti"))
     links = first.unionByName(verified(late, docs, config))

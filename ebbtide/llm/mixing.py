@@ -212,8 +212,9 @@ def block_parts(placed: DataFrame, config: MixConfig = MixConfig()) -> DataFrame
 
 
 def mix_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """Every row of ``docs`` with ``size``, ``source_size``, ``target`` and ``taken``, the words
-    the mix takes from it, repeats counted; no row is taken more than ``most_repeats`` times.
+    """Every row of ``docs`` as ``doc_id``, ``size``, ``source_size``, ``target`` and ``taken``, the
+    words the mix takes from it, repeats counted; no row is taken more than ``most_repeats`` times.
+    ``text_hash`` tells apart the texts of rows that share an id.
 
     NULL text and text without words have size 0 and are never taken; NULL is a source of its
     own, the last one; repeated rows are placed one after the other; an empty table gives no
@@ -253,5 +254,19 @@ def mix_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame
     )
     return out.select(
         "doc_id", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("_text").alias("text_hash"),
     )
+
+
+def repeated(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, to the nearest whole number of times; rows
+    the mix leaves out go."""
+    taken = (
+        mix_documents(docs, config)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
+        .agg(F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times"))
+        .filter("_times > 0")
+    )
+    same = docs.doc_id.eqNullSafe(taken["_id"]) & (F.xxhash64(docs.text) == taken["_text"])
+    times = F.explode(F.sequence(F.lit(1), F.col("_times")))
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns], times.alias("_time")).drop("_time")

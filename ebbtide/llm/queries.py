@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.llm.common import scratch_path, table
+from ebbtide.llm.covertree import near_vectors
+from ebbtide.llm.html import main_text
 from ebbtide.llm.language import language_report
 from ebbtide.llm.minhash import NearConfig, near_duplicates
 from ebbtide.llm.mixing import mix_documents
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.secrets import secret_report
+from ebbtide.llm.suffix import remove_repeats
+from ebbtide.llm.topk import finite, quantised, top_inner_products
 from ebbtide.llm.warc import round_trip
 
 
@@ -21,6 +26,20 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), gzip=True)
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
+    vectors = rows.select("vec_id", quantised(F.col("embedding")).alias("vector"))
+    return top_inner_products(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
@@ -37,4 +56,22 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearConfig(shingle=2))
 
 
-QUERIES = {q.__name__: q for q in (op1_packing, op2_warc, op6_mixing, op7_language, op8_secrets, op9_minhash)}
+def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_packing,
+        op2_warc,
+        op3_html,
+        op4_suffix,
+        op5_topk,
+        op6_mixing,
+        op7_language,
+        op8_secrets,
+        op9_minhash,
+        op10_covertree,
+    )
+}

@@ -1,11 +1,56 @@
 """Stages of the corpus pipeline. Each takes ``(spark, docs, sf_dir)``; all but the last return the
-columns of ``documents``."""
+columns of ``documents``. None reads anything but ``docs``, and an empty table stays empty."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ebbtide.llm.language import UNDETERMINED, fit, held_out, predict
+from ebbtide.llm.minhash import near_duplicates
+from ebbtide.llm.mixing import repeated
 from ebbtide.llm.packing import pack_documents
+from ebbtide.llm.secrets import discovery_thresholds, redacted, with_spans
+
+#: Share of the winning language below which a text counts as none of the learned ones.
+LEAST_SCORE = 0.3
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages; texts that are NULL, without letters or like none of
+    the languages go. Where no document has a language, nothing is learned and all stay."""
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs
+    judged = predict(docs, model)
+    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return judged.filter(known).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id. Of rows that share an id
+    one stays; rows without id belong to no group and all stay."""
+    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
+    return (
+        named.filter("_row = 1")
+        .select(docs.columns)
+        .unionByName(docs.filter("doc_id is null"))
+    )
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret found replaced by a mark."""
+    found = with_spans(docs, discovery_thresholds(docs), name="_spans")
+    marked = found.withColumn("text", redacted(F.col("text"), F.col("_spans")))
+    size = F.when(F.size("_spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return marked.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return repeated(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
