@@ -1,3 +1,141 @@
-"""DuckDB SQL for the queries that SQL can express on whole tables."""
+"""DuckDB SQL for the queries that SQL can express on whole tables. The others (packing, extraction,
+mixing by hashed order, learned filters, randomness tests, the pipeline) are tested against brute force."""
 
-ORACLES: dict[str, str] = {}
+_REACH = """
+reach(id, root) AS (
+  SELECT id, id FROM node
+  UNION
+  SELECT r.id, e.b FROM reach r JOIN edge e ON e.a = r.root
+),
+part AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+"""
+
+# five hex digits of the SHA-1 are four base32 digits
+_BASE32 = "translate({}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')".format(
+    " || ".join(
+        f"to_base(CAST('0x' || substr(digest, {5 * i + 1}, 5) AS BIGINT), 32, 4)" for i in range(8)
+    )
+)
+
+OP2 = f"""
+WITH page AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+),
+coded AS (
+  SELECT page_id, url, octet_length(encode(payload)) AS payload_bytes, {_BASE32} AS payload_digest,
+         max(page_id) OVER (PARTITION BY digest) AS holder
+  FROM page
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to, url
+FROM coded
+"""
+
+OP4 = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+win AS (
+  SELECT doc_id, p, substr(digits, 2 * p + 1, 200) AS bytes
+  FROM (SELECT doc_id, digits, unnest(range(length(digits) // 2 - 99)) AS p FROM doc)
+),
+hit AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, p) AS k FROM win
+  ) WHERE k > 1
+),
+island AS (
+  SELECT doc_id, p, sum(CASE WHEN p - before <= 100 THEN 0 ELSE 1 END)
+    OVER (PARTITION BY doc_id ORDER BY p) AS k
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit)
+),
+span AS (
+  SELECT doc_id, min(p) AS low, max(p) + 100 AS high FROM island GROUP BY doc_id, k
+),
+gap AS (
+  SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS a, low AS b FROM span
+  UNION ALL
+  SELECT doc_id, max(high), NULL FROM span GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(
+    CASE WHEN b IS NULL THEN substr(digits, 2 * a + 1) ELSE substr(digits, 2 * a + 1, 2 * (b - a)) END,
+    '' ORDER BY a) AS digits
+  FROM gap JOIN doc USING (doc_id) GROUP BY doc_id
+),
+total AS (SELECT doc_id, sum(high - low) AS n, count(*) AS k FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(length(doc.digits) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept.digits, doc.digits))) AS kept_sha256
+FROM doc LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS z FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.z, c.z) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+),
+ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP9 = f"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM word
+),
+shingle AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM shingled),
+link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM shingle x JOIN shingle y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+),
+node AS (SELECT doc_id AS id FROM documents),
+edge AS (SELECT a, b FROM link),
+{_REACH}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM shingled JOIN part ON doc_id = id
+"""
+
+OP10 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+unit AS (SELECT vec_id, label, z, sqrt(list_inner_product(z, z)) AS size FROM v),
+edge AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM unit x JOIN unit y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE x.size > 0 AND y.size > 0 AND list_inner_product(x.z, y.z) / (x.size * y.size) >= 0.98
+),
+node AS (SELECT vec_id AS id FROM embeddings),
+{_REACH},
+degree AS (SELECT a, count(*) AS n FROM edge GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN part ON vec_id = id LEFT JOIN degree ON vec_id = a
+"""
+
+ORACLES = {
+    "op2_warc": OP2,
+    "op4_suffix": OP4,
+    "op5_topk": OP5,
+    "op9_minhash": OP9,
+    "op10_covertree": OP10,
+}
