@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The format's version line, record end, and the two base32 alphabets.
 VERSION = "WARC/1.1"
@@ -107,7 +108,7 @@ def record_text(id_column: str = "page_id") -> Column:
     )
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _member(record):
     """Each record, with its end, as a gzip member. A member's last byte belongs to its length and is
     zero below 16 MB; it is left to the separator then."""
