@@ -604,3 +604,52 @@ history AS (
     ),
 }
 ORACLES["mlp_score_sql"] = ORACLES["mlp_score"]
+ORACLES["mlp_score_saved"] = ORACLES["mlp_score"]
+ORACLES["features_limited_files"] = ORACLES["features"]
+ORACLES["shift_report_csv"] = ORACLES["shift_customers"]
+ORACLES["verified_rows"] = f"""
+SELECT 'clean' AS stage, count(*) AS row_count FROM ({ORACLES["clean_customers"]})
+UNION ALL SELECT 'features', count(*) FROM ({ORACLES["features"]})"""
+ORACLES["metrics_document_json"] = f"""
+SELECT CASE WHEN l_linestatus = 'F' THEN 'validation' ELSE 'internal_test' END AS split, {join(METRICS)}
+FROM ({ORACLES["evaluation_lineitem"]})
+UNION ALL SELECT 'external_test', {join("CAST(NULL AS DOUBLE)" for _ in METRICS)}"""
+COMPOSITE = """
+labelled AS (
+  SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS filled,
+         CASE WHEN o_orderkey % 5 > 0 THEN 'a\\:' || o_orderpriority ELSE '\\N' END
+           || ':b\\:' || o_orderkey AS name
+  FROM orders)"""
+ORACLES["split_composite_keys"] = with_(
+    COMPOSITE + "," + split_tables("labelled", "name", "filled"),
+    "SELECT o_orderkey, filled, split FROM assigned",
+)
+
+
+def learned(known: str, external: str, label: str) -> str:
+    """Rows and positives of the evaluated splits, by quota; that the model learns is expected."""
+    return f"""
+SELECT split, count(*) AS row_count, CAST(sum(y) AS BIGINT) AS positives, TRUE AS learned FROM (
+  SELECT split, {label} AS y FROM {known} WHERE split <> 'training'
+  UNION ALL SELECT 'external_test', {label} FROM {external}) GROUP BY split"""
+
+
+ORACLES["train_mlp"] = with_(
+    CUSTOMERS_SPLIT,
+    learned("assigned", "(SELECT * FROM features WHERE dataset = 'external')", "churn"),
+)
+LARGE = LINES + """,
+marked AS (
+  SELECT *, row_number() OVER () AS line,
+         CASE WHEN l_quantity * (1 - l_discount) > 25 THEN 1 ELSE 0 END AS target FROM lines),
+known_lines AS (SELECT * FROM marked WHERE dataset = 'train')"""
+ORACLES["train_mlp_lineitem"] = with_(
+    LARGE + "," + split_tables("known_lines", "line", "target"),
+    learned("assigned", "(SELECT * FROM marked WHERE dataset = 'external')", "target"),
+)
+ORACLES["training_shards"] = with_(
+    LARGE,
+    "SELECT count(*) AS row_count, CAST(32 AS BIGINT) AS parts, CAST(sum(target) AS BIGINT) AS positives, "
+    + join(f"CAST(0 AS DOUBLE) AS mean_{c}" for c in LINE_FEATURES)
+    + " FROM known_lines",
+)

@@ -65,8 +65,17 @@ def cross_entropy(logit: Column, label: Column) -> Column:
 
 
 def key_text(keys: Iterable[str]) -> Column:
-    """One string per key, the parts joined with ':'."""
-    return F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
+    """One string per key, different for different keys: the parts joined with ':', a ':' or backslash
+    inside a part escaped, NULL marked. Numbers keep their plain text."""
+
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        escaped = F.replace(
+            F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")
+        )
+        return F.coalesce(escaped, F.lit("\\N"))
+
+    return F.concat_ws(":", *[part(k) for k in keys])
 
 
 def row_hash(text: Column, seed: int) -> Column:

@@ -70,10 +70,10 @@ def mean_loss(df: DataFrame, loss: str = "loss", by: Sequence[str] = ()) -> Data
 
 
 def _ranges(df: DataFrame) -> int:
-    """Number of score ranges: a power of two, at least the session's shuffle width. Bounded,
-    because the quantile sketches grow with it."""
+    """Number of score ranges: the next power of two from the session's shuffle width, so that
+    ranges get smaller with the cluster that sorts them."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << min(max(width - 1, 63), 4095).bit_length()
+    return max(2, 1 << (width - 1).bit_length())
 
 
 def cumulative_counts(
@@ -82,9 +82,11 @@ def cumulative_counts(
     score: str,
     by: Sequence[str] = (),
     sums: Sequence[Column] = (),
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per distinct score: its positives and negatives, and ``tp``/``fp`` counted over
-    all scores at least as high. ``sums`` are further aggregates per score.
+    all scores at least as high. ``sums`` are further aggregates per score. ``ranges``, a power of
+    two, sets how many parts are sorted side by side; the result does not depend on it.
 
     The group columns come back as one struct ``group``; structs compare equal on NULL fields,
     so rows of a NULL group are not lost in the join.
@@ -98,7 +100,7 @@ def cumulative_counts(
     scores = rows.groupBy(group.alias("group"), F.col("_score").alias("score")).agg(
         F.sum(y).alias("positives"), F.sum(1 - y).alias("negatives"), *sums
     )
-    n = _ranges(df)
+    n = ranges or _ranges(df)
     # The bounds ask for every column of ``scores``: then the aggregate below them is the same one
     # as in the rest of the plan, and its exchange runs once.
     quantiles = F.percentile_approx("score", [i / n for i in range(1, n)], 4 * n)

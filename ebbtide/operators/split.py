@@ -31,13 +31,12 @@ HOLDOUT = 0.30
 TEST_WITHIN_HOLDOUT = 0.50
 SEED = 42
 
-# Hex digits of the hash per histogram: 16^3 bins.
-BIN_DIGITS = 3
+# Hex digits of the hash per histogram: 16^2 bins.
+BIN_DIGITS = 2
 # A bin of this many rows is ranked by one task; larger ones are divided further.
 RANKABLE = 1_000_000
-# Four histograms make 16^12 bins: what is still large then is one key with many copies.
-MAX_DEPTH = 3
-MAX_LABELS = 64
+# Six histograms make 16^12 bins: what is still large then is one key with many copies.
+MAX_DEPTH = 5
 
 
 @dataclass(frozen=True)
@@ -129,14 +128,11 @@ def fit_split(
     text = key_text(keys)
     rows = df.select(F.col(label).alias("_label"), row_hash(text, seed).alias("_hash"), text.alias("_key"))
 
-    # At most bins x labels rows; one more than that means the label is not a class label.
-    most = MAX_LABELS * 16**BIN_DIGITS
-    counted = rows.groupBy("_label", _bin(0).alias("_bin")).count().limit(most + 1).collect()
+    # bins x labels rows
+    counted = rows.groupBy("_label", _bin(0).alias("_bin")).count().collect()
     histogram: dict[object, list[tuple[str, int]]] = defaultdict(list)
     for row in counted:
         histogram[row["_label"]].append((row["_bin"], row["count"]))
-    if len(counted) > most or len(histogram) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} values: not a class label")
     if None in histogram:
         raise ValueError(f"NULL values in: {label}")
     sizes = {k: sum(n for _, n in bins) for k, bins in sorted(histogram.items())}

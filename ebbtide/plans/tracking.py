@@ -1,4 +1,4 @@
-"""Stage 5: append one run to the long run tables."""
+"""Stage 5: put one run into the long run tables."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from ebbtide.sources.documents import (
     read_document,
 )
 from ebbtide.sources.models import load_model
-from ebbtide.sources.writers import append_table
+from ebbtide.sources.writers import replace_run
 
 # Largest absolute correlation change that does not yet count as a shift.
 DRIFT_TOLERANCE = 0.1
@@ -30,7 +30,8 @@ def run_record(
     source: str = "csv",
     target_name: str = "customer_churn",
 ) -> None:
-    """Read a training run folder and append to ``tables``/{metrics, params, tags}."""
+    """Read a training run folder and add to ``tables``/{metrics, params, tags}. Recording a run id
+    again replaces its rows."""
     document = read_document(spark, f"{run_folder}/metrics")
     model = load_model(spark, f"{run_folder}/model")
     metrics = metrics_flat(metrics_long(document_metrics(document), run_id))
@@ -53,6 +54,6 @@ def run_record(
         tags = run_table(spark, run_id, fixed)
     else:
         tags = run_tags(drift_detected(report, tolerance), run_id, fixed)
-    append_table(metrics.withColumn("value", F.col("value").cast("double")).coalesce(1), f"{tables}/metrics")
-    append_table(params.coalesce(1), f"{tables}/params")
-    append_table(tags.coalesce(1), f"{tables}/tags")
+    replace_run(metrics.withColumn("value", F.col("value").cast("double")).coalesce(1), f"{tables}/metrics")
+    replace_run(params.coalesce(1), f"{tables}/params")
+    replace_run(tags.coalesce(1), f"{tables}/tags")

@@ -15,8 +15,6 @@ from ebbtide.operators.train import (
     TrainConfig,
     epoch_history,
     pick_model,
-    rounds,
-    shard_count,
     shard_rows,
     train,
 )
@@ -52,13 +50,10 @@ def train_and_evaluate(
     tagged = cuts.assign(known)
     everything = tagged.unionByName(external.withColumn("split", F.lit(EXTERNAL_TEST)))
     sizes = _materialised(split_sizes(everything))
-    rows = {r["split"]: r["row_count"] for r in sizes.collect()}
-
     training_rows = tagged.filter(F.col("split") == TRAIN).drop("split")
     scaler = fit_scaler(training_rows, spec.features)
-    count = shard_count(rows.get(TRAIN, 0), config)
-    shards = shard_rows(training_rows, spec.keys, scaler, spec.label, count, config)
-    fitted = train(shards, spec.features, config, rounds(count, config))
+    shards = shard_rows(training_rows, spec.keys, scaler, spec.label, config)
+    fitted = train(shards, spec.features, config)
 
     validation = tagged.filter(F.col("split") == VALIDATION)
     history = _materialised(epoch_history(validation, fitted, scaler, spec.label, config))

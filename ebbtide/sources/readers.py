@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import missing
 from ebbtide.spec import DatasetSpec
 
 
@@ -30,13 +29,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer input splits than the session has cores, dealt out over the cores. A scan
-    with enough splits is left alone, so nothing large is moved."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     absent = [c for c in columns if c not in df.columns]
     if absent:
@@ -44,11 +36,18 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def require_no_nulls(df: DataFrame, columns: Sequence[str]) -> None:
-    """One aggregate over the listed columns; raises when any of them holds a NULL."""
-    counts = df.agg(*[F.coalesce(F.sum(missing(F.col(c))), F.lit(0)).alias(c) for c in columns])
+    """One aggregate over the listed columns; raises when any of them holds a NULL, or a NaN where
+    the column is floating."""
+    kinds = dict(df.dtypes)
+
+    def absent(name: str) -> Column:
+        gone = F.col(name).isNull()
+        return gone | F.isnan(name) if kinds[name] in ("double", "float") else gone
+
+    counts = df.agg(*[F.count_if(absent(c)).alias(c) for c in columns])
     nulls = {c: n for c, n in counts.first().asDict().items() if n}
     if nulls:
-        raise ValueError(f"NULL values in: {nulls}")
+        raise ValueError(f"NULL or NaN values in: {nulls}")
 
 
 def load_features(
@@ -64,7 +63,7 @@ def load_features(
     """
     required = [*(features if features is not None else spec.features), spec.label]
     df = spark.read.parquet(path)
-    require_columns(df, required)
-    df = df.select(*[k for k in spec.keys if k in df.columns], *required, *keep)
+    require_columns(df, [*spec.keys, *required, *keep])
+    df = df.select(*spec.keys, *required, *keep)
     require_no_nulls(df, required)
     return df

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_parquet(
@@ -47,6 +48,16 @@ def write_report_csv(report: DataFrame, path: str, first: str = "feature") -> st
     return path
 
 
-def append_table(df: DataFrame, path: str) -> str:
-    df.write.mode("append").parquet(path)
+def replace_run(df: DataFrame, path: str) -> str:
+    """Add the rows of a run to a run table; rows that the same run has there are replaced."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").parquet(path)
     return path
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """A run table; run ids stay texts, also those that look like numbers."""
+    stored = spark.read.option("inferSchema", False).parquet(path)
+    fields = [f for f in stored.schema.fields if f.name != "run_id"]
+    schema = T.StructType([T.StructField("run_id", T.StringType()), *fields])
+    return spark.read.schema(schema).parquet(path).select(schema.names)

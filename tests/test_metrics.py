@@ -93,10 +93,26 @@ def test_results_do_not_depend_on_partitions_or_ranges(spark):
 def test_no_single_task_window_over_rows(spark):
     df = frame(spark, [0.1, 0.2], [0, 1])
     counts = cumulative_counts(df, "y", "score")
-    assert counts.count() == 2
+    plan = counts._jdf.queryExecution().executedPlan().toString().splitlines()
+    # what feeds a window over rows: the exchange below it names the group and the range
+    # (the windows over ranges, ordered by range, have a row per range)
+    windows = [i for i, line in enumerate(plan) if "windowspecdefinition" in line and "score#" in line]
+    assert windows
+    for i in windows:
+        below = next(line for line in plan[i + 1 :] if "Exchange" in line and "Broadcast" not in line)
+        assert "SinglePartition" not in below
     assert {(r["score"], r["tp"], r["fp"]) for r in counts.collect()} == {(0.1, 1, 1), (0.2, 1, 0)}
 
 
+@pytest.mark.parametrize("ranges", [2, 1024])
+def test_result_does_not_depend_on_the_ranges(spark, ranges):
+    rng = random.Random(8)
+    df = frame(spark, [rng.random() for _ in range(400)], [int(rng.random() < 0.4) for _ in range(400)])
+    want = {tuple(r) for r in cumulative_counts(df, "y", "score").select("score", "tp", "fp").collect()}
+    got = cumulative_counts(df, "y", "score", ranges=ranges).select("score", "tp", "fp")
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_null_group_is_kept(spark):
     df = frame(spark, [0.1, 0.9, 0.2, 0.8], [0, 1, 1, 0]).withColumn(
         "g", F.when(F.col("score") < 0.5, "a").otherwise(None)

@@ -1,6 +1,7 @@
 """All stages from CSV to run tables, through files only."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.catalog.tables import customer_features, customer_raw
 from ebbtide.operators.score import score
@@ -12,7 +13,7 @@ from ebbtide.plans.training import run_training
 from ebbtide.sources.documents import read_document
 from ebbtide.sources.models import load_model
 from ebbtide.sources.readers import load_features
-from ebbtide.sources.writers import verify_rows, write_parquet
+from ebbtide.sources.writers import read_runs, replace_run, verify_rows, write_parquet
 from ebbtide.spec import CHURN
 
 
@@ -105,7 +106,7 @@ def test_diagnosis_stage(spark, folder, trained, diagnosed):
 
 def test_record_stage(spark, folder, trained, diagnosed):
     tables = f"{folder}/tables"
-    for run_id in ("r1", "r2"):
+    for run_id in ("r1", "r2", "r1"):  # recording a run again changes nothing
         run_record(spark, run_id, f"{folder}/run", tables, diagnosed.report)
     metrics = spark.read.parquet(f"{tables}/metrics")
     assert metrics.filter("run_id = 'r1'").count() == 21 == metrics.count() // 2
@@ -130,6 +131,24 @@ def test_feature_contract(spark, tmp_path, featured, folder):
         load_features(spark, str(tmp_path / "holes"), CHURN)
 
 
+def test_contract_refuses_nan_and_absent_keys(spark, tmp_path, featured, folder):
+    features = spark.read.parquet(f"{folder}/features_external")
+    odd = features.withColumn("tenure", F.when(F.col("age") > F.lit(30.0), F.lit(float("nan"))).otherwise(1.0))
+    write_parquet(odd, str(tmp_path / "nan"))
+    with pytest.raises(ValueError, match="tenure"):
+        load_features(spark, str(tmp_path / "nan"), CHURN)
+    write_parquet(features.drop("customer_id"), str(tmp_path / "keyless"))
+    with pytest.raises(ValueError, match="customer_id"):
+        load_features(spark, str(tmp_path / "keyless"), CHURN)
+
+
+def test_run_ids_stay_texts(spark, tmp_path):
+    rows = spark.createDataFrame([("007", "a", 1.0)], "run_id string, key string, value double")
+    replace_run(rows, str(tmp_path / "t"))
+    replace_run(rows.withColumn("value", F.lit(2.0)), str(tmp_path / "t"))
+    assert [tuple(r) for r in read_runs(spark, str(tmp_path / "t")).collect()] == [("007", "a", 2.0)]
+
+
 def test_read_back_differences_are_refused(spark, tmp_path):
     rows = spark.range(10)
     write_parquet(rows, str(tmp_path / "out"), rows_per_file=4)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import key_text
 from ebbtide.operators import split
 from ebbtide.operators.split import fit_split, quotas, split_exact, split_hash, split_sizes
 
@@ -81,11 +82,6 @@ def test_assignment_is_a_projection(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-def test_a_label_must_be_a_class(spark):
-    with pytest.raises(ValueError, match="not a class label"):
-        fit_split(spark.range(200).withColumn("y", F.col("id")), ["id"], "y")
-
-
 def test_a_null_label_is_refused(spark):
     rows = labelled(spark, 20).withColumn("y", F.when(F.col("id") > 3, F.col("y")))
     with pytest.raises(ValueError, match="NULL"):
@@ -95,7 +91,29 @@ def test_a_null_label_is_refused(spark):
 def test_hash_mode(spark):
     out = split_hash(labelled(spark, 20_000), ["id"])
     got = sizes(out)
-    assert abs(got["training",] / 20_000 - 0.7) < 0.02
-    assert abs(got["validation",] / 20_000 - 0.15) < 0.02
+    assert abs(got[("training",)] / 20_000 - 0.7) < 0.02
+    assert abs(got[("validation",)] / 20_000 - 0.15) < 0.02
     more = split_hash(labelled(spark, 30_000), ["id"]).filter("id < 20000")
     assert sorted(map(tuple, more.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_more_than_64_labels(spark):
+    rows = spark.range(9000).select("id", (F.col("id") % 90).alias("y"))
+    got = sizes(split_exact(rows, ["id"], "y"), "y")
+    for y, (train, validation) in quotas({k: 100 for k in range(90)}).items():
+        assert (got["training", y], got["validation", y]) == (train, validation)
+
+
+def test_keys_that_join_to_one_text_stay_apart(spark):
+    parts = [("a:b", "c"), ("a", "b:c"), (None, "a:b:c"), ("", "a:b:c"), ("a\\", "b"), ("a", "\\b"), ("\\N", "x"), (None, "x")]
+    rows = spark.createDataFrame(parts, "a string, b string")
+    assert rows.select(key_text(["a", "b"])).distinct().count() == len(parts)
+    many = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("x:")).when(F.col("id") % 3 == 1, F.lit("x")).alias("a"),
+        F.concat_ws(":", F.lit(""), "id").alias("b"),
+        (F.col("id") % 2).alias("y"),
+    )
+    got = sizes(split_exact(many, ["a", "b"], "y"))
+    assert (got[("training",)], got[("validation",)], got[("internal_test",)]) == (700, 150, 150)
+    one = spark.createDataFrame([(-7,)], "k long").select(key_text(["k"])).first()[0]
+    assert one == "-7"

@@ -8,7 +8,7 @@ from ebbtide.catalog.tables import customer_features, order_line_features, rule_
 from ebbtide.functions import network
 from ebbtide.operators.scale import Scaler, fit_scaler
 from ebbtide.operators.score import Model, score
-from ebbtide.operators.train import TrainConfig, shard_count, shard_rows, train
+from ebbtide.operators.train import TrainConfig, epoch_history, shard_rows, train
 from ebbtide.plans.training import train_and_evaluate
 from ebbtide.spec import CHURN, DatasetSpec
 
@@ -77,34 +77,33 @@ def test_default_threshold_is_inclusive(spark):
     assert (row["probability"], row["prediction"]) == (0.5, 1)
 
 
-def _shards(lines, config, shards):
+def _shards(lines, config):
     rows = lines.filter("dataset = 'train'").drop("dataset")
-    return shard_rows(rows, LINES.keys, fit_scaler(rows, LINES.features), "large", shards, config)
+    return shard_rows(rows, LINES.keys, fit_scaler(rows, LINES.features), "large", config)
 
 
 def test_same_seed_same_weights_whatever_the_input_partitions(lines):
-    config = TrainConfig(epochs=1, batch_size=256, rounds_per_epoch=2)
+    config = TrainConfig(epochs=1, batch_size=256, rounds_per_epoch=2, shards=3)
     seen = [
-        train(_shards(lines.repartition(p), config, 3), LINES.features, config, 2).snapshots
+        train(_shards(lines.repartition(p), config), LINES.features, config).snapshots
         for p in (1, 7)
     ]
     assert seen[0] == seen[1]
     other = replace(config, seed=7)
-    assert train(_shards(lines, other, 3), LINES.features, other, 2).snapshots != seen[0]
+    assert train(_shards(lines, other), LINES.features, other).snapshots != seen[0]
 
 
 def test_copies_of_one_key_are_dealt_out(lines):
     one_key = lines.withColumns({"l_orderkey": F.lit(7).cast("long"), "l_linenumber": F.lit(1).cast("long")})
     spec_keys = ("l_orderkey", "l_linenumber")
     scaler = fit_scaler(lines, LINES.features)
-    shards = shard_rows(one_key, spec_keys, scaler, "large", 4, TrainConfig())
+    shards = shard_rows(one_key, spec_keys, scaler, "large", TrainConfig(shards=4))
     sizes = [r["count"] for r in shards.groupBy("shard").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
 
 
 def test_shards_hold_every_row_once(lines):
-    config = TrainConfig()
-    shards = _shards(lines, config, 5)
+    shards = _shards(lines, TrainConfig(shards=5))
     assert shards.rdd.getNumPartitions() == 5
     assert shards.count() == lines.filter("dataset = 'train'").count()
     sizes = [r["count"] for r in shards.groupBy("shard").count().collect()]
@@ -113,19 +112,32 @@ def test_shards_hold_every_row_once(lines):
     assert all(r["shard"] == r["p"] for r in per_partition.collect())
 
 
-def test_shard_count_follows_rows():
-    config = TrainConfig()
-    assert shard_count(1000, config) == 1
-    assert shard_count(308_582, config) == 4
-    assert shard_count(10**12, config) == config.max_shards
+def test_regime_does_not_follow_the_rows(lines):
+    """A few rows are dealt to the same number of shards as many, and every slice is visited."""
+    few = _shards(lines.limit(300), TrainConfig())
+    assert few.rdd.getNumPartitions() == TrainConfig().shards
+    assert few.select("slice").distinct().count() == TrainConfig().rounds_per_epoch
+
+
+def test_history_scores_each_row_once(lines):
+    config = TrainConfig(epochs=2, rounds_per_epoch=1, shards=2)
+    scaler = fit_scaler(lines, LINES.features)
+    training = train(_shards(lines, config), LINES.features, config)
+    history = epoch_history(lines, training, scaler, "large", config)
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "Window" not in plan and "Generate explode" not in plan
+    rows = {r["epoch"]: r for r in history.collect()}
+    model = Model(scaler, training.layers, training.snapshots[1], config.threshold)
+    hit = score(lines, model, "large").filter("prediction = 1 and large = 1").count()
+    assert rows[2]["tp"] == hit and rows[2]["row_count"] == lines.count()
 
 
 def test_learns_with_several_shards(lines):
     known = lines.filter("dataset = 'train'").drop("dataset")
     external = lines.filter("dataset = 'external'").drop("dataset")
-    config = TrainConfig(epochs=4, batch_size=128, batches_per_shard=24, rounds_per_epoch=2)
+    config = TrainConfig(epochs=4, batch_size=128, rounds_per_epoch=2, shards=4)
     outcome = train_and_evaluate(known, external, LINES, config)
-    assert shard_count(12_000, config) > 1
     report = {r["split"]: r for r in outcome.evaluation.collect()}
     assert set(report) == {"validation", "internal_test", "external_test"}
     assert min(r["roc_auc"] for r in report.values()) > 0.95
