@@ -39,7 +39,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = (DIGITS + "abcdef", UPPER + "234567", DIGITS + LOWER, UPPER + LOWER + DIGITS + "+/")
 #: Share of neighbours of different classes in written tokens, at most.
-WRITTEN_CHANGES = 0.25
+WRITTEN_CHANGES = 0.2
 DISCOVERY_RATE = 0.01
 LEAST_RANDOM = 0.001
 BIN = 0.05  # of -log10(p)

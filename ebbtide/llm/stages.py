@@ -22,9 +22,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     if not model.languages:
         return docs
-    judged = predict(docs, model)
-    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return judged.filter(known).select(docs.columns)
+    judged = predict(docs, model, names=("_lang", "_score"))
+    known = (F.col("_lang") != UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)
+    return judged.filter(known).drop("_lang", "_score")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,7 +80,7 @@ def test_long_text_beside_short_ones(spark):
 
 def test_estimates_are_close():
     rng = np.random.default_rng(1)
-    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64) * np.uint64(2)
     for share in (0.5, 0.8, 0.95):
         n = 2000
         both = int(n * 2 * share / (1 + share))

@@ -100,4 +100,5 @@ def test_plan_covers_every_rank_once():
         ranks = np.sort(plan.rank[plan.length == length])
         assert ranks[0] == 0 and ranks[-1] < count
     tokens = sum(k * v for k, v in histogram.items())
-    assert tokens / (plan.sequences * 64) > 0.9
+    alone = sum(v for k, v in histogram.items() if k > 32)  # no two of these share a sequence
+    assert plan.sequences <= 1.25 * max(tokens / 64, alone)

@@ -140,7 +140,7 @@ def test_tree_nodes_nest_and_shrink():
 
 
 def test_spanning_labels():
-    label = C._spanning(6, np.array([0, 3, 4]), np.array([3, 5, 1]))
+    label = C._joined(np.arange(6), np.array([0, 3, 4]), np.array([3, 5, 1]))
     assert label.tolist() == [0, 1, 2, 0, 1, 0]
 
 
