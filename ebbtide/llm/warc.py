@@ -159,6 +159,9 @@ def _plain_record(data, start: int) -> tuple[dict | None, int, str]:
         name, colon, value = line.partition(b":")
         if not colon:
             return None, start, "malformed header line"
+        # the format lets no other field repeat; this one did where a record broke off in its header
+        if name.lower() != b"warc-concurrent-to" and name.decode("latin-1").lower() in fields:
+            return None, start, "repeated header field"
         fields[name.decode("latin-1").lower()] = value.decode("utf-8", "replace").strip()
     if not (fields.get("content-length", "").isdecimal() and "warc-type" in fields):
         return None, start, "no length or type"
