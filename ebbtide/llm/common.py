@@ -3,7 +3,6 @@ and connected components."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,18 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
+from ebbtide.sources.scratch import remove_path, scratch_path, shared_dir
 
+__all__ = ["remove_path", "scratch_path", "shared_dir"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: ``spark.checkpoint.dir``, and where the
-    session does not name one, a folder beside the warehouse tables."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(named or f"{warehouse}/_checkpoints")
-    return context.getCheckpointDir().rstrip("/")
+MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -40,15 +32,6 @@ def durable(df: DataFrame) -> DataFrame:
     return kept
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
