@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import mixed
+from ebbtide.llm.common import durable, mixed
 
 UNDETERMINED = "und"
 GRAM = 3
@@ -116,13 +116,26 @@ def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Langu
     The sample takes, of each language, the ``config.sample`` texts with the smallest hashes, so it
     does not depend on how the rows are laid out; what reaches the driver are ``config.grams`` trigrams
     a language."""
-    rows = labelled.filter("text is not null and lang is not null").select("text", "lang")
-    first = Window.partitionBy("lang").orderBy("_h", "text")
-    # only hashes are ranked; of equal texts one is enough, and the rank stops early in every task
-    chosen = (
-        rows.withColumn("_h", F.xxhash64("text"))
-        .withColumn("_n", F.row_number().over(first))
+    rows = labelled.filter("text is not null and lang is not null").select(
+        "text", "lang", F.xxhash64("text").alias("_h")
+    )
+    # the smallest hashes of distinct texts; those far beyond the sample go before anything is ranked
+    texts = rows.select("lang", "_h").distinct()
+    known = texts.groupBy("lang").agg(F.count("*").alias("_texts"))  # one row a language
+    share = F.col("_h").cast("double") / float(1 << 64) + 0.5
+    near = texts.join(F.broadcast(known), "lang").filter(share * F.col("_texts") <= 4 * config.sample)
+    by_hash = Window.partitionBy("lang").orderBy("_h")
+    keys = (
+        near.withColumn("_n", F.row_number().over(by_hash))
         .filter(F.col("_n") <= config.sample)
+        .select("lang", "_h")
+    )
+    # keys: config.sample rows a language; of equal texts one is enough
+    one = Window.partitionBy("lang", "_h").orderBy("text")
+    chosen = durable(
+        rows.join(F.broadcast(keys), ["lang", "_h"])
+        .withColumn("_n", F.row_number().over(one))
+        .filter("_n = 1")
         .select("lang", "text")
     )
 
@@ -157,7 +170,7 @@ def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Langu
         chosen.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .join(sizes, "lang")
+        .join(F.broadcast(sizes), "lang")
         .withColumn("_most", F.max(rate).over(Window.partitionBy("gram")))
         .filter(rate >= F.col("_most") * config.least_rate)
         .withColumn("_r", F.row_number().over(by_count))
@@ -177,8 +190,14 @@ def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Langu
     return LanguageModel(languages, table, chance)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score``: the share of the winner in what all languages get.
+def predict(
+    docs: DataFrame,
+    model: LanguageModel,
+    text_column: str = "text",
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` plus the language and a score, the share of the winner in what all languages get; they
+    are called ``names``, which must not clash with columns of ``docs``.
 
     ``und`` with score 0 for NULL and for texts without letters, and for all texts if nothing was
     learned. A text none of whose trigrams is known gets the first language with score 0; ties go to
@@ -190,7 +209,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
         import pandas as pd
 
         letters = _letters()
-        names, scores = [], []
+        winners, scores = [], []
         for _, part in _sliced(text.tolist()):
             grams, row, some = _trigrams(part, letters)
             places = _places(grams, len(table))
@@ -209,12 +228,13 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
                 some[:] = False
             for known, counts in zip(some, true, strict=True):
                 whole = counts.sum() if known else 0.0
-                names.append(languages[int(np.argmax(counts))] if known else UNDETERMINED)
+                winners.append(languages[int(np.argmax(counts))] if known else UNDETERMINED)
                 scores.append(float(counts.max() / whole) if whole > 0 else 0.0)
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+        return pd.DataFrame({"lang_pred": winners, "score": scores})
 
     judged = docs.withColumn("_judged", judge(F.col(text_column).cast("string")))
-    return judged.select(*docs.columns, "_judged.lang_pred", "_judged.score")
+    found = [F.col(f"_judged.{c}").alias(n) for c, n in zip(("lang_pred", "score"), names, strict=True)]
+    return judged.select(*docs.columns, *found)
 
 
 def language_report(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> DataFrame:
