@@ -40,6 +40,8 @@ BUCKET_BYTES = 1 << 20
 #: Sorts behind every id; stands for a NULL id.
 LAST_ID = (1 << 63) - 1
 HOT_SAMPLE = 64
+#: Ways in which what needs no company is dealt out.
+SPREAD = 4096
 HOT_KEYS = 10_000
 HOT_CONTEXTS = 2048
 
@@ -150,7 +152,11 @@ def contexts(
 
 
 def _context_rows(docs: DataFrame, length: int, hot: Hot) -> DataFrame:
-    """``key, salt, context, doc, place`` of every context of ``docs(doc, text)``."""
+    """``key, salt, context, doc, place`` of every context of ``docs(doc, text)``.
+
+    Equal contexts of one slice of texts need not meet again to tell that all but the first are later
+    copies; these get a negative salt, which spreads them evenly. So a context that fills whole texts
+    or is in a third of them leaves a task once per slice."""
     schema = "key long, salt long, context long, doc long, place long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +172,15 @@ def _context_rows(docs: DataFrame, length: int, hot: Hot) -> DataFrame:
                 at = np.minimum(np.searchsorted(hot.keys, key), len(hot.keys) - 1)
                 salt = np.where(hot.keys[at] == key, 1 + np.abs(context % hot.salts[at]), 0)
             docs_here = batch.column("doc").to_numpy()[row]
+            place = places(start, n, marks[row])
+            order = np.lexsort((place, docs_here, context, key))
+            new = np.ones(len(order), bool)
+            new[1:] = (key[order[1:]] != key[order[:-1]]) | (context[order[1:]] != context[order[:-1]])
+            first = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
+            copies = order[(docs_here[order] != docs_here[first]) | (start[order] > start[first])]
+            salt[copies] = -1 - np.arange(len(copies)) % SPREAD
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (key, salt, context, docs_here, places(start, n, marks[row]))],
+                [pa.array(c) for c in (key, salt, context, docs_here, place)],
                 names=["key", "salt", "context", "doc", "place"],
             )
 
@@ -179,7 +192,7 @@ def find_hot(docs: DataFrame, length: int) -> Hot:
     ``HOT_KEYS`` of them."""
     sample = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(HOT_SAMPLE)) == 0)
     counts = durable(
-        _context_rows(sample, length, NO_HOT).groupBy("key").agg(F.count("*").alias("n"))
+        _context_rows(sample, length, NO_HOT).filter("salt >= 0").groupBy("key").agg(F.count("*").alias("n"))
     )
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rows = counts.filter(F.col("n") > max(8, total // HOT_KEYS)).collect()
@@ -206,6 +219,7 @@ def _first_contexts(rows: DataFrame) -> DataFrame:
         # rows that share document and start with the first one are no later than it
         later = (doc != doc[first]) | (place >> 31 > place[first] >> 31)
         kinds = np.add.reduceat(new, np.flatnonzero(new_key))
+        later |= salt < 0
         several = (kinds[np.cumsum(new_key) - 1] > 1) | (salt > 0)
         out = later | several
         return pa.RecordBatch.from_arrays(
