@@ -26,13 +26,15 @@ from ebbtide.llm.blocks import blocked, met_within, visited
 from ebbtide.llm.common import components, durable
 from ebbtide.llm.topk import finite
 
-BLOCK = 2048
+BLOCK = 1024
 #: Bounds of the top net: sample on the driver, and nodes.
 SAMPLE = 2048
 NODES = 256
 TOP_RADIUS = 1.0
 LEVELS = 6  # radii 1, 1/2, ... 1/32; below that vectors
-CHUNK = 1 << 16
+CHUNK = 1 << 15
+#: Children of a node pair from which on they are compared as matrices.
+DENSE = 256
 SLACK = 1e-9
 
 
@@ -98,49 +100,70 @@ class Tree:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _pairs_below(a: Tree, b: Tree, level: int, left: np.ndarray, right: np.ndarray):
-    """All pairs of children of node pairs, in chunks."""
-    first_a, n_a = a.child[level][left], a.child[level][left + 1] - a.child[level][left]
-    first_b, n_b = b.child[level][right], b.child[level][right + 1] - b.child[level][right]
-    counts = n_a * n_b
+def _chunks(counts: np.ndarray, most: int) -> Iterator[slice]:
+    """Stretches whose counts sum to about ``most``."""
     ends = np.cumsum(counts)
     start = 0
-    while start < len(left):
+    while start < len(counts):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
-        part = slice(start, stop)
-        of = np.repeat(np.arange(stop - start), counts[part])
-        step = np.arange(len(of)) - np.repeat(np.cumsum(counts[part]) - counts[part], counts[part])
-        yield (
-            first_a[part][of] + step // n_b[part][of],
-            first_b[part][of] + step % n_b[part][of],
-        )
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
+        yield slice(start, stop)
         start = stop
 
 
 def near_pairs(a: Tree, b: Tree, least_cosine: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(level, nodes of a, nodes of b)`` all of whose vectors reach ``least_cosine`` with one another;
-    together they are all such pairs of vectors."""
+    together they are all such pairs of vectors.
+
+    Node pairs with many children compare them as two matrices, the others gather theirs pair by pair;
+    either way no more than ``CHUNK`` pairs are held at a time, besides the numbers of open ones."""
     limit = math.sqrt(max(0.0, 2.0 - 2.0 * least_cosine))
     last = len(a.start) - 1
-    stack = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        level, left, right = stack.pop()
-        centre_a, centre_b = a.points[a.start[level][left]], b.points[b.start[level][right]]
-        cosine = np.einsum("ij,ij->i", centre_a, centre_b)
+
+    def judged(level: int, cosine: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs are near as a whole, and which stay open."""
         if level == last:
-            close = cosine >= least_cosine
-            if close.any():
-                yield level, left[close], right[close]
-            continue
+            return cosine >= least_cosine, np.zeros(cosine.shape, bool)
         apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
-        spread = a.reach[level][left] + b.reach[level][right]
-        whole = apart + spread <= limit - SLACK
-        if whole.any():
-            yield level, left[whole], right[whole]
-        on = ~whole & (apart - spread <= limit + SLACK)
-        if on.any():
-            stack += [(level + 1, *pair) for pair in _pairs_below(a, b, level, left[on], right[on])]
+        whole = apart + reach <= limit - SLACK
+        return whole, ~whole & (apart - reach <= limit + SLACK)
+
+    stack = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]  # open pairs
+    while stack:
+        level, left, right = stack.pop()
+        first_a, n_a = a.child[level][left], a.child[level][left + 1] - a.child[level][left]
+        first_b, n_b = b.child[level][right], b.child[level][right + 1] - b.child[level][right]
+        level += 1
+        centre_a, centre_b = a.start[level][:-1], b.start[level][:-1]
+        reach_a, reach_b = a.reach[level], b.reach[level]
+        dense = n_a * n_b >= DENSE
+        for i in np.flatnonzero(dense):
+            own_b = np.arange(first_b[i], first_b[i] + n_b[i])
+            step = max(1, CHUNK // len(own_b))
+            for low in range(first_a[i], first_a[i] + n_a[i], step):
+                own_a = np.arange(low, min(low + step, first_a[i] + n_a[i]))
+                cosine = a.points[centre_a[own_a]] @ b.points[centre_b[own_b]].T
+                whole, on = judged(level, cosine, reach_a[own_a, None] + reach_b[own_b])
+                x, y = np.nonzero(whole)
+                if len(x):
+                    yield level, own_a[x], own_b[y]
+                x, y = np.nonzero(on)
+                if len(x):
+                    stack.append((level, own_a[x], own_b[y]))
+        few = ~dense
+        first_a, n_a, first_b, n_b = first_a[few], n_a[few], first_b[few], n_b[few]
+        for part in _chunks(n_a * n_b, CHUNK):
+            counts = n_a[part] * n_b[part]
+            of = np.repeat(np.arange(len(counts)), counts)
+            step = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+            x = first_a[part][of] + step // n_b[part][of]
+            y = first_b[part][of] + step % n_b[part][of]
+            cosine = np.einsum("ij,ij->i", a.points[centre_a[x]], b.points[centre_b[y]])
+            whole, on = judged(level, cosine, reach_a[x] + reach_b[y])
+            if whole.any():
+                yield level, x[whole], y[whole]
+            if on.any():
+                stack.append((level, x[on], y[on]))
 
 
 def _packed(vectors: DataFrame, net: dict[int, np.ndarray]) -> DataFrame:
@@ -199,19 +222,18 @@ def _balls(blocks: DataFrame) -> DataFrame:
     return columns.mapInArrow(run, "grp string, block long, centre binary, reach double")
 
 
-def _spanning(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Smallest member of each vertex's component."""
-    label = np.arange(n)
-    while len(left):
-        least = np.minimum(label[left], label[right])
-        grown = label.copy()
-        np.minimum.at(grown, left, least)
-        np.minimum.at(grown, right, least)
-        grown = grown[grown]
-        if (grown == label).all():
-            break
-        label = grown
-    return label
+def _joined(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``label`` names each vertex's component by its smallest vertex; the same with further edges."""
+    while True:
+        a, b = label[left], label[right]
+        apart = a != b
+        if not apart.any():
+            return label
+        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def _links(blocks: DataFrame, pairs: DataFrame, least_cosine: float) -> DataFrame:
@@ -233,8 +255,8 @@ def _links(blocks: DataFrame, pairs: DataFrame, least_cosine: float) -> DataFram
         weight = np.concatenate([[0], np.cumsum(copies)])
         other_weight = np.concatenate([[0], np.cumsum(other_copies)])
         # vertices of the graph: vectors of the host, then those of the guest
-        edges_a, edges_b = [], []
         shift = 0 if same else n
+        label = np.arange(n if same else n + m)
         for level, left, right in near_pairs(tree, other, least_cosine):
             first_a, end_a = tree.start[level][left], tree.start[level][left + 1]
             first_b, end_b = other.start[level][right], other.start[level][right + 1]
@@ -255,19 +277,12 @@ def _links(blocks: DataFrame, pairs: DataFrame, least_cosine: float) -> DataFram
                 sizes = end - first
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 member = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                edges_a.append(member + side)
-                edges_b.append(centre[of] + across)
+                label = _joined(label, member + side, centre[of] + across)
         if same:
             counts -= copies  # every vector is near itself
         all_names = names if same else np.concatenate([names, other_names])
-        if edges_a:
-            label = _spanning(len(all_names), np.concatenate(edges_a), np.concatenate(edges_b))
-            tied = np.flatnonzero(label != np.arange(len(label)))
-            yield {
-                "a": all_names[tied],
-                "b": all_names[label[tied]],
-                "n": np.full(len(tied), -1),
-            }
+        tied = np.flatnonzero(label != np.arange(len(label)))
+        yield {"a": all_names[tied], "b": all_names[label[tied]], "n": np.full(len(tied), -1)}
         all_counts = counts if same else np.concatenate([counts, other_counts])
         some = np.flatnonzero(all_counts)
         yield {"a": all_names[some], "b": all_names[some], "n": all_counts[some]}
