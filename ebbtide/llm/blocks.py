@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of results sent on together; most visits have few.
+OUT_ROWS = 8192
 BLOCK = "grp {group}, block long, n int, ids binary, data binary"
 
 Visit = Callable[[np.ndarray, bytes, np.ndarray, bytes, bool], Iterator[dict]]
@@ -53,18 +55,57 @@ def blocked(rows: DataFrame, order: list[Column], group_type: str, most: int) ->
     return ranged.select("grp", "id", "data").mapInArrow(gather, BLOCK.format(group=group_type))
 
 
+class _Results:
+    """Results of visits, sent on together."""
+
+    def __init__(self, schema: str):
+        kinds = {"long": pa.int64(), "double": pa.float64()}
+        self.names = [c.split()[0] for c in schema.split(", ")]
+        self.types = [kinds[c.split()[1]] for c in schema.split(", ")]
+        self.held: list[dict] = []
+        self.rows = 0
+
+    def add(self, outs: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        for out in outs:
+            self.held.append(out)
+            self.rows += len(out[self.names[0]])
+            if self.rows >= OUT_ROWS:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            columns = [np.concatenate([h[n] for h in self.held]) for n in self.names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, self.types, strict=True)], names=self.names
+            )
+        self.held, self.rows = [], 0
+
+
+def with_itself(blocks: DataFrame, visit: Visit, schema: str) -> DataFrame:
+    """``visit`` of every block to itself, where it lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        results = _Results(schema)
+        for batch in batches:
+            for ids, data in zip(batch.column(0), batch.column(1), strict=True):
+                own = np.frombuffer(ids.as_buffer(), np.int64)
+                raw = data.as_buffer()
+                yield from results.add(visit(own, raw, own, raw, True))
+        yield from results.rest()
+
+    return blocks.select("ids", "data").mapInArrow(run, schema)
+
+
 def visited(
     hosts: DataFrame, guests: DataFrame, pairs: DataFrame, visit: Visit, schema: str
 ) -> DataFrame:
     """``visit(host_ids, host_data, ids, data, same)`` for every row of ``pairs(grp, host, guest_grp,
     block)``; it yields columns of ``schema``, whose fields are long or double. ``same`` says that the
     names of host and guest are equal."""
-    names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"long": pa.int64(), "double": pa.float64()}
-    types = [kinds[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, host_ids, host_data = None, np.zeros(0, np.int64), b""
+        results = _Results(schema)
         for batch in batches:
             for row in range(batch.num_rows):
                 group, at, guest_group, guest = (batch.column(i)[row].as_py() for i in range(4))
@@ -75,11 +116,9 @@ def visited(
                     continue
                 if (group, at) != host:
                     raise RuntimeError("a guest came before its host")
-                for out in visit(host_ids, host_data, ids, data, (guest_group, guest) == host):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(out[n], t) for n, t in zip(names, types, strict=True)],
-                        names=names,
-                    )
+                same = (guest_group, guest) == host
+                yield from results.add(visit(host_ids, host_data, ids, data, same))
+        yield from results.rest()
 
     called = pairs.select("grp", F.col("host").alias("block")).distinct()
     none = F.lit(None)

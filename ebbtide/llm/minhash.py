@@ -9,8 +9,10 @@ with a probability of 5e-8. Then:
 2. Within a bucket every set is paired with the bucket's smallest id. The collision-corrected estimate
    from the registers drops pairs that cannot reach the threshold; the others are verified on the full
    sets, and what is confirmed is joined to components.
-3. Only pairs of one bucket that are still in different components can add anything; all of these are
-   estimated (in blocks of a bucket, so that a large one is many tasks) and verified.
+3. Only pairs of one bucket that are still in different components can add anything. They are estimated
+   in blocks of a bucket, so that a large one is many tasks. A few merging rounds verify for every set
+   only its best partner outside its component; as a rule that joins what belongs together.
+4. At last every pair of one bucket that is still apart, promising and not yet tested is verified.
 
 So no link is lost, large groups of copies never become all their pairs, and a bucket has no cap.
 """
@@ -24,11 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.blocks import blocked, met_within, visited
-from ebbtide.llm.common import components, durable, mixed, slices, text_bytes
+from ebbtide.llm.blocks import blocked, met_within, visited, with_itself
+from ebbtide.llm.common import components, durable, mixed, scratch_path, slices, text_bytes
 
 REGISTERS = 128
 REGISTER_BITS = 7
@@ -37,6 +39,8 @@ BAND = 4
 SLICE_BYTES = 2 << 20
 #: Standard errors by which an estimate may miss the threshold: one pair in two million.
 MARGIN = 4.9
+#: Pairs of sketches compared at a time.
+PAIRS = 4096
 
 # A random odd multiplier, its inverse modulo 2**64, and a multiplier for chaining.
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -49,6 +53,7 @@ class NearConfig:
     shingle: int = 5
     percent: int = 80
     block: int = 2048
+    merge_rounds: int = 2
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,64 +288,31 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
         .filter(may_reach("asketch", "bsketch", "an_shingles", "bn_shingles"))
         .select("a", "b")
     )
-    first = durable(verified(durable(candidates), docs, config))
-    parts = durable(components(first))
-
-    # buckets that still hold more than one component
-    placed = shared.join(parts, shared.rep == parts.id, "left").select(
-        "key", "rep", F.coalesce("component_id", "rep").alias("component")
-    )
-    mixed_keys = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .filter("lo < hi")
-        .select("key")
-    )
-    open_rows = placed.join(mixed_keys, "key", "left_semi").join(sketch, "rep")
-    packed = F.concat(F.col("sketch"), _long_bytes("component"), _long_bytes("n_shingles"))
-    blocks = durable(
-        blocked(
-            open_rows.select(F.col("key").alias("grp"), F.col("rep").alias("id"), packed.alias("data")),
-            [F.col("grp"), F.col("id")],
-            "long",
-            config.block,
-        )
-    )
-    width = REGISTERS * 2 + 16
-
-    def compare(host_ids, host_data, ids, data, same):
-        def parts_of(raw, n):
-            rows = np.frombuffer(raw, np.uint8).reshape(n, width)
-            tail = np.ascontiguousarray(rows[:, REGISTERS * 2 :]).view(">i8")
-            return np.ascontiguousarray(rows[:, : REGISTERS * 2]).view(np.uint16), tail[:, 0], tail[:, 1]
-
-        sketch_a, part_a, n_a = parts_of(host_data, len(host_ids))
-        sketch_b, part_b, n_b = parts_of(data, len(ids))
-        for i in range(len(host_ids)):
-            other = part_b != part_a[i]
-            # sizes alone rule out most
-            other &= 100 * np.minimum(n_b, n_a[i]) >= percent * np.maximum(n_b, n_a[i])
-            if same:
-                other[: i + 1] = False
-            at = np.flatnonzero(other)
-            if len(at):
-                close, used = estimates(sketch_a[i], sketch_b[at], n_a[i], n_b[at])
-                at = at[promising(close, used, percent)]
-                if len(at):
-                    yield {
-                        "a": np.minimum(ids[at], host_ids[i]),
-                        "b": np.maximum(ids[at], host_ids[i]),
-                    }
-
-    late = visited(blocks, blocks, met_within(blocks), compare, "a long, b long").distinct()
-    failed_or_done = candidates.select("a", "b")
-    late = durable(late.join(failed_or_done, ["a", "b"], "left_anti"))
-    links = first.unionByName(verified(late, docs, config))
+    tested = durable(candidates)
+    links = durable(verified(tested, docs, config))
+    texts = None
+    for merging in [True] * config.merge_rounds + [False]:
+        parts = components(links)
+        blocks = durable(_open_blocks(shared, parts, sketch, config))
+        if blocks.isEmpty():
+            break
+        if texts is None:
+            # only these documents can still be compared; their texts are all that later steps read
+            path = scratch_path(docs.sparkSession, "open")
+            _texts_of(blocks, docs).write.parquet(path)
+            texts = docs.sparkSession.read.parquet(path)
+        found = _apart(blocks, config, merging)
+        fresh = durable(found.join(tested, ["a", "b"], "left_anti"))
+        if fresh.isEmpty():
+            continue
+        new = durable(verified(fresh, texts, config))
+        tested, links = durable(tested.unionByName(fresh)), durable(links.unionByName(new))
     roots = components(links)
     named = classes.join(roots, classes.rep == roots.id, "left").select(
         "set_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")
     )
-    out = known.select("doc_id", "n_shingles", "set_id").join(named, ["set_id", "n_shingles"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id")
+    out = known.select("doc_id", "n_shingles", own).join(named, ["set_id", "n_shingles"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         "doc_id",
@@ -350,6 +322,98 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     )
 
 
-def _long_bytes(name: str):
+def _long_bytes(name: str) -> Column:
     """The eight bytes of a long, big-endian."""
     return F.unhex(F.lpad(F.hex(F.col(name)), 16, "0"))
+
+
+def _open_blocks(
+    shared: DataFrame, parts: DataFrame, sketch: DataFrame, config: NearConfig
+) -> DataFrame:
+    """Blocks of the buckets that hold more than one component; a row is its sketch, component, set
+    size and bucket."""
+    placed = shared.join(parts, shared.rep == parts.id, "left").select(
+        "key", "rep", F.coalesce("component_id", "rep").alias("component")
+    )
+    open_keys = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo < hi")
+        .select("key")
+    )
+    rows = placed.join(open_keys, "key", "left_semi").join(sketch, "rep")
+    data = F.concat("sketch", *[_long_bytes(c) for c in ("component", "n_shingles", "key")])
+    named = rows.select(F.col("key").alias("grp"), F.col("rep").alias("id"), data.alias("data"))
+    return blocked(named, [F.col("grp"), F.col("id")], "long", config.block)
+
+
+def _texts_of(blocks: DataFrame, docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids in batch.column(0):
+                own = np.frombuffer(ids.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own)], names=["doc_id"])
+
+    wanted = blocks.select("ids").mapInArrow(run, "doc_id long").distinct()
+    return docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+
+
+def _block_columns(raw, n: int) -> tuple[np.ndarray, ...]:
+    rows = np.frombuffer(raw, np.uint8).reshape(n, -1)
+    tail = np.ascontiguousarray(rows[:, REGISTERS * 2 :]).view(">i8").astype(np.int64)
+    return np.ascontiguousarray(rows[:, : REGISTERS * 2]).view(np.uint16), *tail.T
+
+
+def _apart(blocks: DataFrame, config: NearConfig, best: bool) -> DataFrame:
+    """Promising pairs ``a, b`` of one bucket and different components: with ``best`` for every set the
+    one with the highest estimate, else all, each in the first bucket that the two share."""
+    percent = config.percent
+
+    def compare(host_ids, host_data, ids, data, same):
+        sketch_a, part_a, n_a, key = _block_columns(host_data, len(host_ids))
+        sketch_b, part_b, n_b, _ = _block_columns(data, len(ids))
+        if not best:
+            keys_a, used_a = band_keys(sketch_a)
+            keys_b, used_b = band_keys(sketch_b)
+        top_a, top_b = np.full(len(host_ids), -1.0), np.full(len(ids), -1.0)
+        mate_a, mate_b = host_ids.copy(), ids.copy()
+        rows = max(1, PAIRS // len(ids))
+        for low in range(0, len(host_ids), rows):
+            here = slice(low, low + rows)
+            # sizes alone rule out many
+            other = (part_a[here, None] != part_b) & (
+                100 * np.minimum(n_a[here, None], n_b) >= percent * np.maximum(n_a[here, None], n_b)
+            )
+            if same:
+                other &= np.arange(low, low + len(other))[:, None] < np.arange(len(ids))
+            x, y = np.nonzero(other)
+            if not len(x):
+                continue
+            x += low
+            close, used = estimates(sketch_a[x], sketch_b[y], n_a[x], n_b[y])
+            good = promising(close, used, percent)
+            x, y, close = x[good], y[good], close[good]
+            if not best:
+                equal = (keys_a[x] == keys_b[y]) & used_a[x] & used_b[y]
+                own = keys_a[x, equal.argmax(axis=1)] == key[x]
+                yield {"a": host_ids[x[own]], "b": ids[y[own]], "score": close[own]}
+                continue
+            order = np.argsort(close)  # of values for one place the last, the largest, stays
+            x, y, close = x[order], y[order], close[order]
+            for top, mate, at, names in ((top_a, mate_a, x, ids[y]), (top_b, mate_b, y, host_ids[x])):
+                better = close > top[at]
+                top[at[better]], mate[at[better]] = close[better], names[better]
+        if best:
+            for own, mate, top in ((host_ids, mate_a, top_a), (ids, mate_b, top_b)):
+                found = np.flatnonzero(top >= 0)
+                yield {"a": own[found], "b": mate[found], "score": top[found]}
+
+    schema = "a long, b long, score double"
+    found = with_itself(blocks, compare, schema)
+    # most buckets are one block
+    across = durable(met_within(blocks).filter("host < block"))
+    if not across.isEmpty():
+        found = found.unionByName(visited(blocks, blocks, across, compare, schema))
+    if best:
+        found = found.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
