@@ -1,19 +1,24 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests for long tokens.
 
-Candidates are tokens of 20 characters or more that hold a digit and fit an encoding (hex, base 32,
-base 36, base 64). Two questions are asked of each, both as p-values:
-
-* Is it written by people? In names, paths and numbers characters of one class (lower case, upper
-  case, digits) stand together; the test counts class changes. As many candidates are tested, a
-  candidate counts as not written only under false-discovery control (Benjamini-Hochberg), level by
-  level of length, because the test gains power with length and short tokens must not use up what
-  long ones earn.
-* Is it random? Chi-squared uniformity over the encoding's alphabet, the runs test about the middle of
-  the alphabet and the lag-1 serial correlation, the smallest p-value of the three corrected for three
-  tests. Tokens that fail (ordered, repeated, periodic) are left alone.
-
-Only DataFrame functions. The control needs one number per length level; its counts are kept in bins
-of the p-value, so what the driver sees is bounded (levels times bins), whatever the corpus.
+Candidates are tokens of 20 characters or more that fit an encoding (hex, base 32, base 36, base 64, or
+letters of one case). Hyphens and underscores that part the groups of a token of one case, as in a UUID,
+do not count. The battery asks of each:
+
+* Chi-squared uniformity over the encoding's alphabet, the runs test about the middle of the alphabet and
+  the lag-1 serial correlation, the smallest p-value of the three corrected for three tests. Tokens that
+  fail (ordered, repeated, periodic) are left alone.
+* The likelihood ratio of random against written text: drawn from the encoding's alphabet, or made of
+  words, names and numbers, where letters follow one another as in words and characters of one class
+  (lower case, upper case, digits) stand together. For a written token the ratio is r or more with a
+  probability of 1/r at most, so 1/r is a p-value of "written by people".
+
+As many candidates are tested, a candidate counts as random only under false-discovery control
+(Benjamini-Hochberg) of the ratio, apart for each length level and encoding, because evidence grows with
+length and with the size of the alphabet.
+
+Only DataFrame functions. The control needs one number per length level and encoding; its counts are kept in
+bins of the p-value, so what the driver sees is bounded (levels times encodings times bins), whatever the
+corpus.
 """
 
 from __future__ import annotations
@@ -34,18 +39,32 @@ HEX = "[0-9a-f]{24,}"  # whole runs, as no shorter run can hold a match
 #: In the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 # Alphabets of the encodings, in their own order.
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ALPHABETS = (DIGITS + "abcdef", UPPER + "234567", DIGITS + LOWER, UPPER + LOWER + DIGITS + "+/")
-#: Share of neighbours of different classes in written tokens, at most.
+ALPHABETS = (DIGITS + "abcdef", LOWER + "234567", DIGITS + LOWER, UPPER + LOWER + DIGITS + "+/", LOWER)
+#: -4 ln P(next letter | letter) of words, "a" for 0: a row per letter, a column per next letter. Half
+#: from English, French, German and Spanish prose, half from program sources; a tenth is uniform.
+PAIR_COSTS = (
+    "rqmnpurtmvtlngrqvkkhmstutw", "mvqtfwvvolwfvvltwqqumwwwlv", "lwsvkvwfjwmmtviuvpskquwwvw",
+    "lqtpeuwpivwpvpjvwpnnnwsvtw", "ktolmptsnwvlqipqthklrstptt", "kutrmmtthwvnutgswjpnlvvwtv",
+    "kqtvewsnlwuntmntwnjomtswwt", "hquwewuolwuqvoluwpomsurwwu", "qsnrlmrutwvnofirvqkjwrvtws",
+    "ewqwewwwswswwwjswvtvkwwwvw", "owsrcusvlwvnvprrvrltqumwvw", "kuuqfjvwjwwkvumtwvnoovvwjw",
+    "iovsevwwkwvspukjwuospwwwuw", "lqniitjpnvtptoktuqmhqsrwuv", "sqpntltwpvtqofrovhnnjtrvwv",
+    "hvtsimwtnwvkvujmwjrkotvwow", "wwwvwwwwwwwvwuvvwsuwawwwww", "krrseuoqlwtrqmktwmmmqtswqv",
+    "otmugvsjlvurssnpuslgovtwrw", "mtsujuvehwvrusltwlopnvtwqr", "opquhqssowvlnipnuimlttulwu",
+    "gwvwdvwvhwwwtumvwvvwwwvwww", "ivvslvwdhwwswpnwwmqvwwuvww", "kuhujswulwwpqwokrprfwrwrtu",
+    "npstjtunmwwppmlhwpiiuuowvv", "mqpugwsrmusqqtostsqqetwwvs",
+)
+#: Share of neighbours of different classes in written tokens.
 WRITTEN_CHANGES = 0.25
 DISCOVERY_RATE = 0.01
 LEAST_RANDOM = 0.001
 BIN = 0.05  # of -log10(p)
 MOST_BIN = 400
 
-Thresholds = dict[int, int]
+#: Least bin by length level and encoding.
+Thresholds = dict[tuple[int, int], int]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -135,18 +154,26 @@ def _pairs(a: Column, body: Callable[[Column, Column], Column]) -> Column:
 def encoding(token: Column) -> Column:
     """Index of the inferred alphabet, or NULL."""
     body = F.rtrim(token, F.lit("="))
-    both = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
     mixed_case = body.rlike("[a-z]") & body.rlike("[A-Z]")
     return (
-        F.when(~both, F.lit(None))
-        .when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(0))
-        .when(body.rlike("^[A-Z2-7]+$"), F.lit(1))
-        .when(body.rlike("^([a-z0-9]+|[A-Z0-9]+)$"), F.lit(2))
+        F.when(~body.rlike("[A-Za-z]"), F.lit(None))
         .when(mixed_case, F.lit(3))
+        .when(body.rlike("[+/]"), F.lit(None))
+        .when(~body.rlike("[0-9]"), F.lit(4))
+        .when(body.rlike("^([0-9a-f_-]+|[0-9A-F_-]+)$"), F.lit(0))
+        .when(body.rlike("^([A-Z2-7_-]+|[a-z2-7_-]+)$"), F.lit(1))
+        .otherwise(F.lit(2))
         .cast("int")
     )
 
 
+def signs(token: Column, kind: Column) -> Column:
+    """The characters of a token that its encoding reads; those of one case as lower case."""
+    body = F.rtrim(token, F.lit("="))
+    one_case = F.translate(body, "-_", "")
+    return F.when(kind == 3, F.translate(body, "-_", "+/")).otherwise(F.lower(one_case))
+
+
 def uniformity(places: Column, kinds: Column) -> Column:
     """Two-sided p-value of chi-squared uniformity (Wilson-Hilferty): too even is no more random
     than too uneven."""
@@ -195,59 +222,74 @@ def serial_correlation(places: Column) -> Column:
     )
 
 
-def written(token: Column) -> Column:
-    """p-value of so many changes of class if people had written the token."""
-    classes = F.transform(
-        F.filter(F.split(token, ""), lambda c: c != ""),
-        lambda c: F.when(c.between("0", "9"), 0)
-        .when(c.between("a", "z"), 1)
-        .when(c.between("A", "Z"), 2)
-        .otherwise(3),
+def _costs() -> tuple[str, list[str]]:
+    """Signs of written tokens (all digits as 0, all of +/ as +), and by sign a string of what the next
+    one costs: four times -ln P, as code points from 48 on."""
+    signs_ = LOWER + UPPER + "0+"
+    share = {"L": 26, "U": 26, "0": 10, "+": 2}
+    class_of = lambda c: "L" if c in LOWER else "U" if c in UPPER else c
+
+    def cost(a: str, b: str) -> float:
+        x, y = class_of(a), class_of(b)
+        paired = 0.0
+        if x in "LU" and y in "LU":
+            paired = (ord(PAIR_COSTS[LOWER.index(a.lower())][LOWER.index(b.lower())]) - 97) / 4
+        if x == "U" and y in "LU":  # a capital opens a word or stands in a run of capitals
+            return paired - math.log((1 - WRITTEN_CHANGES) / 2)
+        if x == y:
+            return (paired or math.log(share[y])) - math.log(1 - WRITTEN_CHANGES)
+        return math.log(share[y]) - math.log(WRITTEN_CHANGES / (2 if x == "U" else 3))
+
+    return signs_, ["".join(chr(48 + round(4 * cost(a, b))) for b in signs_) for a in signs_]
+
+
+def written(plain: Column, kinds: Column) -> Column:
+    """-log10 of the p-value of the signs ``plain`` if people had written them: the likelihood ratio of
+    ``kinds`` equally likely signs against the pairs of written tokens."""
+    signs_, rows = _costs()
+    table = F.array(*[F.lit(r) for r in rows])
+    folded = F.translate(plain, "123456789/", "000000000+")
+    at = F.transform(
+        F.filter(F.split(folded, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(signs_)) - 1
     )
-
-    def of(classes: Column) -> Column:
-        n = F.size(classes) - 1.0
-        changes = _sum(_pairs(classes, lambda a, b: (a != b).cast("int")))
-        q = WRITTEN_CHANGES
-        return normal_tail((changes - 0.5 - n * q) / F.sqrt(n * q * (1 - q)))
-
-    return let(classes, of)
+    cost = lambda a, b: F.ascii(F.substring(F.get(table, a), b + 1, F.lit(1))) - 48
+    of = lambda at: _sum(_pairs(at, cost)) / 4.0 - (F.size(at) - 1.0) * F.log(kinds)
+    return let(at, of) / math.log(10)
 
 
 def tested(candidates: Column) -> Column:
-    """Candidates of ``located`` that fit an encoding: their span, length level, bin of the p-value
-    for written tokens, and whether the battery takes them for random."""
+    """Candidates of ``located`` that fit an encoding: their span, length level, encoding, bin of the
+    p-value for written tokens, and whether the other tests take them for random."""
     alphabets = F.array(*[F.lit(a) for a in ALPHABETS])
 
     def one(x: Column) -> Column:
-        token = F.rtrim(x["value"], F.lit("="))
-
-        def of(kind: Column) -> Column:
+        def of(kind: Column, plain: Column) -> Column:
             alphabet = F.get(alphabets, kind)
-            plain = F.translate(
-                F.when((kind == 0) | (kind == 2), F.lower(token)).otherwise(token), "-_", "+/"
-            )
+            kinds = F.length(alphabet).cast("double")
             places = F.transform(
                 F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.position(c, alphabet) - 1
             )
 
             def battery(places: Column) -> Column:
-                kinds = F.length(alphabet).cast("double")
                 worst = F.least(
                     uniformity(places, kinds), runs(places, kinds), serial_correlation(places)
                 )
                 return 3.0 * worst >= LEAST_RANDOM
 
-            bin_ = F.floor(-F.log10(F.greatest(written(token), F.lit(1e-30))) / BIN)
+            bin_ = F.floor(written(plain, kinds) / BIN)
             return F.struct(
                 x["start"].alias("start"),
                 x["end"].alias("end"),
-                F.floor(F.log2(F.length(token))).cast("int").alias("level"),
+                F.floor(F.log2(F.length(plain))).cast("int").alias("level"),
+                kind.alias("encoding"),
                 F.greatest(F.lit(0), F.least(bin_, F.lit(MOST_BIN))).cast("int").alias("bin"),
                 let(places, battery).alias("random"),
             )
 
-        return let(encoding(x["value"]), lambda k: F.when(k.isNotNull(), of(k)))
+        return let(
+            encoding(x["value"]),
+            lambda k: F.when(k.isNotNull(), let(signs(x["value"], k), lambda plain: of(k, plain))),
+        )
 
     return F.filter(F.transform(candidates, one), lambda t: t.isNotNull())
 
@@ -255,22 +297,24 @@ def tested(candidates: Column) -> Column:
 def discovery_thresholds(
     docs: DataFrame, text_column: str = "text", rate: float = DISCOVERY_RATE
 ) -> Thresholds:
-    """``{length level: least bin}`` by Benjamini-Hochberg over all candidates of ``docs``."""
+    """Least bins by Benjamini-Hochberg over all candidates of ``docs``."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     counts = (
         docs.select(F.explode(tested(located(text, CANDIDATE))).alias("c"))
-        .groupBy("c.level", "c.bin")
+        .groupBy("c.level", "c.encoding", "c.bin")
         .agg(F.count("*").alias("n"))
-        .collect()  # levels x bins at most
+        .collect()  # levels x encodings x bins at most
     )
+    groups: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for r in counts:
+        groups.setdefault((r["level"], r["encoding"]), []).append((r["bin"], r["n"]))
     thresholds: Thresholds = {}
-    for level in sorted({r["level"] for r in counts}):
-        bins = sorted(((r["bin"], r["n"]) for r in counts if r["level"] == level), reverse=True)
+    for group, bins in sorted(groups.items()):
         total, seen = sum(n for _, n in bins), 0
-        for bin_, n in bins:
+        for bin_, n in sorted(bins, reverse=True):
             seen += n
             if 10 ** (-BIN * bin_) <= rate * seen / total:
-                thresholds[level] = bin_
+                thresholds[group] = bin_
     return thresholds
 
 
@@ -294,8 +338,8 @@ def with_spans(
     )
     def found(t: Column) -> Column:
         wanted = F.lit(False)
-        for level, bin_ in thresholds.items():
-            wanted = wanted | ((t["level"] == level) & (t["bin"] >= bin_))
+        for (level, kind), bin_ in thresholds.items():
+            wanted = wanted | ((t["level"] == level) & (t["encoding"] == kind) & (t["bin"] >= bin_))
         return wanted & t["random"]
 
     tokens = F.filter(tested(located(text, CANDIDATE)), found)
