@@ -1,20 +1,22 @@
 """Main text of web pages: markup roles, and a suffix array over the pages of a host.
 
-Markup decides where it speaks: navigation, headers, footers, sidebars, forms, scripts, notices, adverts
-and comments are left out, and a page that marks its article (``article`` or ``main``) is that article.
-
-For the other pages of a host the token streams are concatenated and sorted to a suffix array. A string of
-``MIN_RUN`` tokens or more that stands on several distinct pages is boilerplate: what the pages share is
-their frame. Blocks that such strings cover go, blocks with text of their own stay. Text outside the
-article of marked pages takes part as evidence. Pages of equal streams count as one, so that a page's
-copies do not make its text a frame.
-
-A host's pages are dealt to shards of bounded size, so that no host, however large, is one task; a frame
-is on all pages and shows in every shard.
+Markup is the first filter: navigation, headers, footers, sidebars, forms, scripts, notices, adverts and
+comments are left out, and of a page that marks its article (``article`` or ``main``) only that is a
+candidate; what lies outside takes part as evidence.
+
+The token streams of a host are then sorted to suffix arrays. A string of ``MIN_RUN`` tokens or more that
+stands on several distinct pages of the host is boilerplate: what the pages share is their frame. Blocks
+that such strings cover go, in marked articles too; blocks with text of their own stay. Pages whose
+candidates are nearly equal count as one, so that a page's copies do not make its text a frame.
+
+A host's pages are dealt to shards of bounded size, a suffix array each, so that no host, however large,
+is one task. Shards only count: near-equal pages share a shard, the counts of a run are added up over all
+shards of its host, and the frames of the whole host go back to its pages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -25,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.common import durable, mixed
 from ebbtide.llm.suffix import doubled_ranks
 
 MIN_RUN = 6
-#: A run is a frame when it is on this many distinct pages of the shard, and on this share of them.
+#: A run is a frame when it is on this many distinct pages of the host, and on this share of them.
 MIN_PAGES = 3
 MIN_SHARE = 0.05
 #: Share of a block's tokens that must be covered for the block to go.
@@ -195,121 +198,213 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(host), F.lit(""))
 
 
-def framed_tokens(tokens: np.ndarray, page: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """Which tokens lie in a run of ``MIN_RUN`` that stands on enough distinct pages.
-
-    ``tokens`` are the concatenated streams as numbers, ``page`` the page of each; ``content`` numbers
-    the distinct streams of the pages. In suffix order the starts of equal runs are neighbours."""
-    starts = np.flatnonzero(page[: len(page) - MIN_RUN + 1] == page[MIN_RUN - 1 :]) if len(
-        page) >= MIN_RUN else np.zeros(0, np.int64)
-    cover = np.zeros(len(tokens) + 1, np.int64)
-    if len(starts):
-        rank = doubled_ranks(np.unique(tokens, return_inverse=True)[1], 1, starts, MIN_RUN)
-        pages = np.unique(np.stack([rank, content[page[starts]]]), axis=1)[0]
-        distinct = np.bincount(pages, minlength=rank.max() + 1)
-        least = max(MIN_PAGES, MIN_SHARE * len(np.unique(content)))
-        hit = starts[distinct[rank] >= least]
-        np.add.at(cover, hit, 1)
-        np.add.at(cover, hit + MIN_RUN, -1)
-    return np.cumsum(cover)[:-1] > 0
-
-
-def without_frame(streams: list[list[str]], judged: list[bool]) -> list[list[str] | None]:
-    """Blocks of every judged page of a shard that are not framed; None for pages that are evidence."""
-    numbers: dict[str, int] = {}
-    contents: dict[tuple, int] = {}
-    tokens, page, content = [], [], []
-    for i, blocks in enumerate(streams):
-        words = [numbers.setdefault(w, len(numbers)) for b in blocks for w in b.split(" ")]
-        content.append(contents.setdefault(tuple(words), len(contents)))
-        tokens += words
-        page += [i] * len(words)
-    framed = framed_tokens(np.array(tokens, np.int64), np.array(page, np.int64), np.array(content))
-    out: list[list[str] | None] = []
-    at = 0
-    for blocks, own in zip(streams, judged, strict=True):
-        kept = []
-        for block in blocks:
-            n = block.count(" ") + 1
-            if framed[at : at + n].mean() < COVERED:
-                kept.append(block)
-            at += n
-        out.append(kept if own else None)
-    return out
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_OTHER = np.uint64(0xD1B54A32D192ED03)
+MOST_WORDS = 1 << 20
 
 
-def _marked(pages: DataFrame, id_type: str) -> DataFrame:
-    """Texts of the pages that mark their article."""
+class Words:
+    """64-bit hashes of words, kept as long as they are few."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def of(self, blocks: list[str]) -> np.ndarray:
+        """Hashes of the tokens of the blocks, one after another."""
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
+        out = []
+        for block in blocks:
+            for word in block.split(" "):
+                value = self.known.get(word)
+                if value is None:
+                    digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                    value = self.known[word] = int.from_bytes(digest, "little")
+                out.append(value)
+        return np.array(out, np.uint64)
+
+
+def runs_of(words: np.ndarray) -> np.ndarray:
+    """Hash of the run of ``MIN_RUN`` tokens at every start."""
+    n = len(words) - MIN_RUN + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    total = np.zeros(n, np.uint64)
+    for k in range(MIN_RUN):
+        total = total * _STEP + words[k : k + n]
+    return mixed(total).view(np.int64)
+
+
+def likeness(words: np.ndarray) -> int:
+    """Equal for equal streams, and for nearly equal ones most likely: two least hashes of their runs."""
+    runs = runs_of(words).view(np.uint64)
+    if not len(runs):
+        runs = mixed(np.array([len(words), *words.tolist()], np.uint64).cumsum(dtype=np.uint64))[-1:]
+    least = np.array([runs.min(), mixed(runs ^ _OTHER).min()], np.uint64)
+    return int((mixed(least[:1]) * _STEP + mixed(least[1:])).view(np.int64)[0])
+
+
+def counted_runs(streams: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct runs of a shard, and on how many pages each is. A page is a list of token
+    streams. In suffix order the starts of equal runs are neighbours."""
+    parts = [(i, words) for i, page in enumerate(streams) for words in page if len(words) >= MIN_RUN]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sizes = np.array([len(words) for _, words in parts])
+    first = np.cumsum(sizes) - sizes
+    starts = np.concatenate([at + np.arange(n - MIN_RUN + 1) for at, n in zip(first, sizes, strict=True)])
+    page = np.repeat(np.array([i for i, _ in parts]), sizes - MIN_RUN + 1)
+    tokens = np.unique(np.concatenate([words for _, words in parts]), return_inverse=True)[1]
+    rank = doubled_ranks(tokens, 1, starts, MIN_RUN)
+    values, at, rank = np.unique(rank, return_index=True, return_inverse=True)
+    on = np.unique(rank * len(streams) + page) // len(streams)
+    runs = np.concatenate([runs_of(words) for _, words in parts])[at]
+    return runs, np.bincount(on, minlength=len(values))
+
+
+def without_frame(blocks: list[str], words: np.ndarray, frames: np.ndarray) -> list[str]:
+    """The blocks of a page that the runs ``frames`` do not cover."""
+    cover = np.zeros(len(words) + 1, np.int64)
+    hit = np.flatnonzero(np.isin(runs_of(words), frames))
+    np.add.at(cover, hit, 1)
+    np.add.at(cover, hit + MIN_RUN, -1)
+    framed = np.cumsum(cover)[:-1] > 0
+    kept, at = [], 0
+    for block in blocks:
+        n = block.count(" ") + 1
+        if framed[at : at + n].mean() < COVERED:
+            kept.append(block)
+        at += n
+    return kept
+
+
+def _candidates(parsed: Parsed) -> list[str]:
+    return parsed.rest if parsed.article is None else parsed.article
+
+
+def _evidence(rows: DataFrame) -> DataFrame:
+    """``host, likeness, mark, blocks, outside``: what the pages of a host are counted by. Of pages that
+    are alike only those with the smallest mark so far leave a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        least: dict[tuple[str, int], int] = {}
         for batch in batches:
-            texts, took = [], []
-            for i, page in enumerate(batch.column(2)):
-                article = parse(page.as_py() or "").article
-                if article is not None:
-                    texts.append(" ".join(article))
-                    took.append(i)
-            at = pa.array(took, pa.int64())
+            out = []
+            for page, host in zip(batch.column(0), batch.column(1), strict=True):
+                parsed = parse(page.as_py() or "")
+                blocks, name = _candidates(parsed), host.as_py()
+                alike = likeness(words.of(blocks))
+                text = "\n".join([*blocks, "", *parsed.outside]).encode("utf-8", "surrogatepass")
+                mark = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+                if mark < least.get((name, alike), 1 << 63):
+                    least[name, alike] = mark
+                    out.append((name, alike, mark, blocks, parsed.outside))
+            if len(least) > MOST_WORDS:
+                least.clear()
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["host", "likeness", "mark", "blocks", "outside"],
             )
 
-    schema = f"page_id {id_type}, url string, text string"
-    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
-
+    schema = "host string, likeness long, mark long, blocks array<string>, outside array<string>"
+    return rows.select("html", "host").mapInArrow(run, schema)
+
+
+def frames_of(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """``host, run``: the frames of whole hosts."""
+
+    def count(shard: pa.Table) -> pa.Table:
+        held = {}
+        for row in shard.select(["likeness", "mark", "blocks", "outside"]).to_pylist():
+            if row["likeness"] not in held or row["mark"] < held[row["likeness"]]["mark"]:
+                held[row["likeness"]] = row
+        words = Words()
+        pages = [[words.of(r["blocks"]), words.of(r["outside"])] for r in held.values()]
+        runs, n = counted_runs(pages)
+        whole = shard.column("_shards")[0].as_py() == 1
+        if whole:  # nothing to add: the shard is the host
+            kept = n >= max(MIN_PAGES, MIN_SHARE * len(pages))
+            runs, n = runs[kept], n[kept]
+        host = [shard.column("host")[0].as_py()] * (len(runs) + 1)
+        return pa.table(
+            {
+                "host": pa.array(host, pa.string()),
+                "run": pa.array([None, *runs.tolist()], pa.int64()),
+                "n": pa.array([len(pages), *n.tolist()], pa.int64()),
+                "whole": pa.array([whole] * len(host), pa.bool_()),
+            }
+        )
 
-def _unmarked(pages: DataFrame, id_type: str) -> DataFrame:
-    """Texts of the other pages, shard by shard."""
-    host = host_of(F.col("url"))
-    shards = (
-        pages.groupBy(host.alias("_host"))
-        .agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("_bytes"))
-        .select("_host", F.ceil((F.col("_bytes") + 1) / SHARD_BYTES).alias("_shards"))
+    dealt = _evidence(rows).join(shards, F.col("host") == F.col("_host")).withColumn(
+        "shard", F.pmod("likeness", F.col("_shards"))
+    )
+    columns = ["host", "shard", "_shards", "likeness", "mark", "blocks", "outside"]
+    counts = durable(
+        dealt.select(*columns)
+        .groupBy("host", "shard")
+        .applyInArrow(count, "host string, run long, n long, whole boolean")
+        .groupBy("host", "whole", "run")
+        .agg(F.sum("n").alias("n"))
+        .filter((F.col("run").isNull() & ~F.col("whole")) | (F.col("n") >= MIN_PAGES))
+    )
+    # hosts of several shards: no more than shards
+    pages = counts.filter("run is null and not whole").select("host", F.col("n").alias("_pages"))
+    found = counts.filter("run is not null")
+    across = found.filter("not whole").join(F.broadcast(pages), "host").filter(
+        F.col("n") >= MIN_SHARE * F.col("_pages")
     )
+    return found.filter("whole").select("host", "run").unionByName(across.select("host", "run"))
 
-    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _texts(rows: DataFrame, shards: DataFrame, frames: DataFrame, id_type: str) -> DataFrame:
+    """Texts of all pages without the frames of their hosts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, blocks = [], []
-            for page in batch.column(2):
-                parsed = parse(page.as_py() or "")
-                own.append(parsed.article is None)
-                blocks.append(parsed.rest if own[-1] else parsed.outside)
+            blocks = [_candidates(parse(page.as_py() or "")) for page in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array(own, pa.bool_()),
                     pa.array(blocks, pa.list_(pa.string())),
                     batch.column(3),
                     batch.column(4),
                 ],
-                names=["page_id", "url", "own", "blocks", "host", "deal"],
+                names=["page_id", "url", "blocks", "host", "deal"],
             )
 
-    schema = f"page_id {id_type}, url string, own boolean, blocks array<string>, host string, deal long"
-    parsed = pages.select(
-        "page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url", "html").alias("deal")
-    ).mapInArrow(streams, schema)
-    dealt = parsed.join(shards, F.col("host") == F.col("_host")).withColumn(
-        "shard", F.pmod("deal", F.col("_shards"))
+    schema = f"page_id {id_type}, url string, blocks array<string>, host string, deal long"
+    dealt = (
+        rows.withColumn("deal", F.xxhash64("page_id", "url", "html"))
+        .select("page_id", "url", "html", "host", "deal")
+        .mapInArrow(run, schema)
+        .join(shards, F.col("host") == F.col("_host"))
+        .select("host", F.pmod("deal", F.col("_shards")).alias("shard"), "page_id", "url", "blocks")
+    )
+    told = frames.join(shards, F.col("host") == F.col("_host")).select(
+        "host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_shards") - 1)).alias("shard"), "run"
     )
 
-    def judge(shard: pa.Table) -> pa.Table:
-        own = shard.column("own").to_pylist()
-        texts = without_frame(shard.column("blocks").to_pylist(), own)
-        at = pa.array([i for i, o in enumerate(own) if o], pa.int64())
+    def judge(pages: pa.Table, told: pa.Table) -> pa.Table:
+        words, runs = Words(), told.column("run").to_numpy() if told.num_rows else np.zeros(0, np.int64)
+        texts = []
+        for blocks in pages.column("blocks").to_pylist() if pages.num_rows else []:
+            kept = without_frame(blocks, words.of(blocks), runs) if len(runs) else blocks
+            texts.append(" ".join(kept))
         return pa.table(
             {
-                "page_id": shard.column("page_id").take(at),
-                "url": shard.column("url").take(at),
-                "text": pa.array([" ".join(t) for t in texts if t is not None], pa.string()),
+                "page_id": pages.column("page_id"),
+                "url": pages.column("url"),
+                "text": pa.array(texts, pa.string()),
             }
         )
 
     out = f"page_id {id_type}, url string, text string"
-    columns = ["host", "shard", "page_id", "url", "own", "blocks"]
-    return dealt.select(*columns).groupBy("host", "shard").applyInArrow(judge, out)
+    by = ("host", "shard")
+    return dealt.groupBy(*by).cogroup(told.groupBy(*by)).applyInArrow(judge, out)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -321,6 +416,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         "page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
+    rows = rows.withColumn("host", host_of(F.col("url")))
+    shards = (
+        rows.groupBy(F.col("host").alias("_host"))
+        .agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("_bytes"))
+        .select("_host", F.ceil((F.col("_bytes") + 1) / SHARD_BYTES).alias("_shards"))
+    )
     id_type = pages.schema["page_id"].dataType.simpleString()
-    texts = _marked(rows, id_type).unionByName(_unmarked(rows, id_type))
+    texts = _texts(rows, shards, frames_of(rows, shards), id_type)
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

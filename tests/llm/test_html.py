@@ -94,3 +94,34 @@ def test_every_page_of_the_table(spark, small):
         import html
 
         assert r.text == " ".join(html.unescape(article).split())
+
+
+NOTICE = "This text may be shared under the usual terms of the site"
+
+
+def articles(pages: int, with_notice: int) -> list:
+    out = []
+    for i in range(pages):
+        own = " ".join(f"w{i}x{k}" for k in range(40))
+        notice = f"<p>{NOTICE}</p>" if i < with_notice else ""
+        out.append((i, "http://one.org/", f"<nav>menu</nav><article><p>{own}</p>{notice}</article>", "extra"))
+    return out
+
+
+def test_notice_inside_marked_articles_goes(spark):
+    rows = main_text(spark.createDataFrame(articles(30, 30), SCHEMA)).collect()
+    assert len(rows) == 30
+    for r in rows:
+        assert r.text == " ".join(f"w{r.page_id}x{k}" for k in range(40))
+
+
+def test_frames_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    pages = articles(120, 12)  # in shards of a few pages the notice is seldom on three of them
+    copies = [(1000 + i, "http://one.org/", pages[100][2].replace("w100x39", f"w100y{i}"), "e") for i in range(20)]
+    df = spark.createDataFrame(pages + copies, SCHEMA)
+    whole = {r.page_id: r.text for r in main_text(df).collect()}
+    monkeypatch.setattr(H, "SHARD_BYTES", 1500)
+    cut = {r.page_id: r.text for r in main_text(df).collect()}
+    assert cut == whole and len(whole) == 140
+    assert not any("usual terms" in t for t in whole.values())
+    assert all(t.split() for t in whole.values())  # near copies do not make their text a frame
