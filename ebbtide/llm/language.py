@@ -194,22 +194,23 @@ def predict(
     docs: DataFrame,
     model: LanguageModel,
     text_column: str = "text",
-    names: tuple[str, str] = ("lang_pred", "score"),
+    names: tuple[str, ...] = ("lang_pred", "score"),
 ) -> DataFrame:
     """``docs`` plus the language and a score, the share of the winner in what all languages get; they
-    are called ``names``, which must not clash with columns of ``docs``.
+    are called ``names``, which must not clash with columns of ``docs``. A third name asks for the coverage:
+    the corrected share of the text's own trigrams in the winner's filter, whatever the other languages.
 
     ``und`` with score 0 for NULL and for texts without letters, and for all texts if nothing was
     learned. A text none of whose trigrams is known gets the first language with score 0; ties go to
     the first language too."""
     languages, table, chance = model.languages, model.table, model.false_positive
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, coverage double")
     def judge(text):
         import pandas as pd
 
         letters = _letters()
-        winners, scores = [], []
+        winners, scores, covered = [], [], []
         for _, part in _sliced(text.tolist()):
             grams, row, some = _trigrams(part, letters)
             places = _places(grams, len(table))
@@ -226,14 +227,15 @@ def predict(
             true = np.maximum(0.0, hits - total[:, None] * chance) / (1 - chance)
             if not languages:
                 some[:] = False
-            for known, counts in zip(some, true, strict=True):
+            for known, counts, n in zip(some, true, total, strict=True):
                 whole = counts.sum() if known else 0.0
                 winners.append(languages[int(np.argmax(counts))] if known else UNDETERMINED)
                 scores.append(float(counts.max() / whole) if whole > 0 else 0.0)
-        return pd.DataFrame({"lang_pred": winners, "score": scores})
+                covered.append(float(counts.max() / n) if whole > 0 else 0.0)
+        return pd.DataFrame({"lang_pred": winners, "score": scores, "coverage": covered})
 
     judged = docs.withColumn("_judged", judge(F.col(text_column).cast("string")))
-    found = [F.col(f"_judged.{c}").alias(n) for c, n in zip(("lang_pred", "score"), names, strict=True)]
+    found = [F.col(f"_judged.{c}").alias(n) for c, n in zip(("lang_pred", "score", "coverage"), names)]
     return judged.select(*docs.columns, *found)
 
 

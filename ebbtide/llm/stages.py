@@ -6,14 +6,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.language import UNDETERMINED, fit, held_out, predict
+from ebbtide.llm.language import UNDETERMINED, LanguageModel, fit, held_out, predict
 from ebbtide.llm.minhash import near_duplicates
 from ebbtide.llm.mixing import repeated
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.secrets import discovery_thresholds, redacted, with_spans
 
-#: Share of the winning language below which a text counts as none of the learned ones.
-LEAST_SCORE = 0.3
+#: A text is like none of the learned languages when its winner knows less of its trigrams than this
+#: share of what it knows of nearly all (all but ``LEAST_KNOWN``) of its own held-out documents.
+LEAST_COVERAGE = 0.75
+LEAST_KNOWN = 0.05
+LEAST_HELD_OUT = 5
+
+
+def least_coverage(docs: DataFrame, model: LanguageModel) -> dict[str, float]:
+    """The coverage a text needs, by language; languages with fewer than ``LEAST_HELD_OUT`` held-out
+    documents show no bound and are left out."""
+    labelled = docs.filter(held_out(F.col("doc_id")) & F.col("lang").isin(list(model.languages)))
+    judged = predict(labelled.select("lang", "text"), model, names=("_lang", "_score", "_coverage"))
+    found = (
+        judged.filter("_lang = lang")
+        .groupBy("lang")
+        .agg(F.percentile_approx("_coverage", LEAST_KNOWN).alias("least"), F.count("*").alias("n"))
+        .collect()  # one row a language
+    )
+    return {r["lang"]: LEAST_COVERAGE * r["least"] for r in found if r["n"] >= LEAST_HELD_OUT}
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +39,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     if not model.languages:
         return docs
-    judged = predict(docs, model, names=("_lang", "_score"))
-    known = (F.col("_lang") != UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)
-    return judged.filter(known).drop("_lang", "_score")
+    bounds = least_coverage(docs, model)
+    judged = predict(docs, model, names=("_lang", "_score", "_coverage"))
+    least = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair]) if bounds else F.create_map()
+    needed = F.coalesce(F.element_at(least.cast("map<string,double>"), F.col("_lang")), F.lit(0.0))
+    known = (F.col("_lang") != UNDETERMINED) & (F.col("_coverage") > 0) & (F.col("_coverage") >= needed)
+    return judged.filter(known).drop("_lang", "_score", "_coverage")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The corpus pipeline: stage by stage, and as a whole."""
 
+import random
+
 import pytest
 
 import corpus_pipeline as P
@@ -72,3 +74,21 @@ def test_odd_rows_and_clashing_columns(spark):
 def test_pipeline_without_languages_keeps_all(spark):
     docs = spark.createDataFrame([(1, "text", None, "a", 4)], COLUMNS)
     assert stages.known_language(spark, docs, "").count() == 1
+
+
+def test_languages_are_judged_by_what_is_known_of_a_text(spark):
+    """Ten related languages keep their documents; an unlearned one of the same script and letter
+    garbage go."""
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(3, 7)))
+    shared = [word("aeinrst") for _ in range(60)]
+    own = [[word("aeilnorstu") for _ in range(40)] for _ in range(10)]
+    prose = lambda words: " ".join(rng.choice(words) for _ in range(80))
+    rows = [(i * 100 + j, prose(shared + own[i]), f"l{i}", "a", 0) for i in range(10) for j in range(40)]
+    other = [word("bcdfghjkmoupvwyz") for _ in range(60)]
+    rows += [(5000 + j, prose(other), None, "a", 0) for j in range(20)]
+    garbage = lambda: word("abcdefghijklmnopqrstuvwxyz")
+    rows += [(6000 + j, " ".join(garbage() for _ in range(80)), None, "a", 0) for j in range(20)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    kept = {r.doc_id for r in stages.known_language(spark, docs, "").collect()}
+    assert kept == {r[0] for r in rows if r[2] is not None}
