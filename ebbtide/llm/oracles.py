@@ -132,10 +132,48 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id =
 FROM embeddings JOIN part ON vec_id = id LEFT JOIN degree ON vec_id = a
 """
 
+_WORDS = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+OP12 = f"""
+WITH item AS (
+  SELECT item_id, w, least(len(w), 10) AS l
+  FROM (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark) WHERE len(w) > 0
+),
+phrase AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS phrase
+  FROM (SELECT item_id, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM item)
+),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+),
+place AS (
+  SELECT r, l, p, array_to_string(w[p:p + l - 1], ' ') AS phrase FROM (
+    SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM doc, (SELECT DISTINCT l FROM phrase)
+  )
+),
+hit AS (SELECT r, p, l, item_id FROM place JOIN phrase USING (l, phrase)),
+word AS (
+  SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + l)) AS q FROM hit) GROUP BY r
+),
+named AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL)
+  GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit,
+       coalesce(named.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(word.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
+"""
+
 ORACLES = {
     "op2_warc": OP2,
     "op4_suffix": OP4,
     "op5_topk": OP5,
     "op9_minhash": OP9,
     "op10_covertree": OP10,
+    "op12_positional": OP12,
 }

@@ -12,6 +12,7 @@ from ebbtide.llm.language import language_report
 from ebbtide.llm.minhash import NearConfig, near_duplicates
 from ebbtide.llm.mixing import mix_documents
 from ebbtide.llm.packing import pack_documents
+from ebbtide.llm.positional import decontaminate
 from ebbtide.llm.secrets import secret_report
 from ebbtide.llm.suffix import remove_repeats
 from ebbtide.llm.topk import finite, quantised, top_inner_products
@@ -60,6 +61,10 @@ def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -73,5 +78,6 @@ QUERIES = {
         op8_secrets,
         op9_minhash,
         op10_covertree,
+        op12_positional,
     )
 }
