@@ -169,6 +169,103 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit,
 FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
 """
 
+# CRC-32 of a key, byte by byte and bit by bit
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    range(1, length(key) + 1), lambda i: ascii(key[i])::BIGINT)), lambda c, b: list_reduce(
+    list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+def _edit(value: str, cost: str, label: str) -> str:
+    """Eight digits of cost and an audit, with one more edit in front."""
+    total = f"CAST(CAST(left({value}, 8) AS BIGINT) + {cost} AS VARCHAR)"
+    return f"lpad({total}, 8, '0') || '{label}' || substr({value}, 9)"
+
+
+_KEPT = {  # by state: the initial that may be kept and the state it leads to
+    0: "CASE code WHEN 's' THEN {} WHEN 'u' THEN {} END".format(_edit("v1", "extra", "K"), _edit("v2", "extra", "K")),
+    1: f"CASE code WHEN 'u' THEN {_edit('v2', 'extra', 'K')} END",
+    2: f"CASE code WHEN 'a' THEN {_edit('v3', 'extra', 'K')} END",
+    3: f"CASE code WHEN 'u' THEN {_edit('v2', 'extra', 'K')} END",
+}
+_NEXT = {0: 2, 1: 2, 2: 3, 3: 2}
+_CONSUMED = ", ".join(
+    f"least({_edit(f'v{q}', '4', 'D')}, CASE WHEN NOT gone THEN {_KEPT[q]} END, "
+    f"CASE WHEN NOT gone THEN {_edit(f'v{_NEXT[q]}', '3 + extra', 'R')} END) AS b{q}"
+    for q in range(4)
+)
+_INSERTED = ", ".join(
+    f"least(b{q}, {_edit(f'b{_NEXT[q]}', '3', 'I')}, {_edit(f'b{_NEXT[_NEXT[q]]}', '6', 'II')})" for q in range(4)
+)
+
+OP13 = f"""
+WITH RECURSIVE given AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn,
+         coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+),
+fault AS (SELECT *, xor({_CRC}, 4294967295) % 20 AS f FROM given),
+damaged AS (
+  SELECT c, turn, role AS r0, md5(text) AS t0, unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy,
+         CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM fault WHERE f <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, r0, t0, copy) AS i FROM damaged
+),
+judged AS (
+  SELECT *, left(role, 1) AS code, body = '' AS blank,
+         body <> '' AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS repeated,
+         right(body, 1) NOT IN ('.', '!', '?') AS cut,
+         lead(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS following
+  FROM (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM placed)
+),
+turn AS (
+  SELECT *, blank OR repeated AS gone, cut AND NOT blank AND NOT repeated AS truncated,
+         CASE WHEN cut AND NOT blank AND NOT repeated THEN 3 ELSE 0 END AS extra
+  FROM judged
+),
+conv AS (
+  SELECT c, count(*) AS n, count_if(blank) AS blank, count_if(repeated) AS duplicate,
+         count_if(truncated) AS truncated,
+         count_if(following IS NOT NULL AND code || following NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM turn GROUP BY c
+),
+go(c, i, v0, v1, v2, v3) AS (
+  SELECT c, n, '00000000', '00000006II', '00000003I', '00000000' FROM conv
+  UNION ALL
+  SELECT c, i - 1, {_INSERTED}
+  FROM (SELECT go.c, go.i, {_CONSUMED} FROM go JOIN turn ON turn.c = go.c AND turn.i = go.i)
+),
+best AS (
+  SELECT c, CAST(left(v0, 8) AS BIGINT) AS cost, substr(v0, 9) AS audit,
+         length(replace(substr(v0, 9), 'D', '')) AS size
+  FROM go WHERE i = 0
+),
+edit AS (
+  SELECT c, j, size, audit[j] AS e, j - length(replace(audit[1:j], 'I', '')) AS inserted,
+         length(replace(audit[1:j], 'D', '')) AS pos
+  FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS j FROM best)
+),
+line AS (
+  SELECT edit.c, j,
+         CASE WHEN e = 'K' THEN role WHEN (pos + size) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':' ||
+         CASE WHEN e = 'I' THEN '' ELSE text END AS line
+  FROM edit LEFT JOIN turn ON turn.c = edit.c AND turn.i = j - inserted
+  WHERE e <> 'D'
+),
+digest AS (SELECT c, sha256(string_agg(line, chr(10) ORDER BY j)) AS repaired FROM line GROUP BY c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM given)
+LEFT JOIN conv USING (c) LEFT JOIN best USING (c) LEFT JOIN digest USING (c)
+"""
+
 ORACLES = {
     "op2_warc": OP2,
     "op4_suffix": OP4,
@@ -176,4 +273,5 @@ ORACLES = {
     "op9_minhash": OP9,
     "op10_covertree": OP10,
     "op12_positional": OP12,
+    "op13_dialogue": OP13,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import scratch_path, table
 from ebbtide.llm.covertree import near_vectors
+from ebbtide.llm.dialogue import damaged, prepared, repair, repair_report
 from ebbtide.llm.html import main_text
 from ebbtide.llm.language import language_report
 from ebbtide.llm.minhash import NearConfig, near_duplicates
@@ -17,6 +18,7 @@ from ebbtide.llm.secrets import secret_report
 from ebbtide.llm.suffix import remove_repeats
 from ebbtide.llm.topk import finite, quantised, top_inner_products
 from ebbtide.llm.warc import round_trip
+from ebbtide.llm.whitening import whiten
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +63,18 @@ def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(repair(damaged(prepared(table(spark, sf_dir, "conversations")))))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -78,6 +88,8 @@ QUERIES = {
         op8_secrets,
         op9_minhash,
         op10_covertree,
+        op11_whitening,
         op12_positional,
+        op13_dialogue,
     )
 }
