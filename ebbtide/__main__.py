@@ -47,8 +47,16 @@ def features(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
-    config = TrainConfig(epochs=a.epochs, learning_rate=a.learning_rate, batch_size=a.batch_size)
-    outcome = run_training(spark, a.known, a.external, a.output, CHURN, config)
+    config = TrainConfig(
+        epochs=a.epochs,
+        learning_rate=a.learning_rate,
+        batch_size=a.batch_size,
+        groups=a.groups,
+        patience=a.patience,
+        tune_threshold=a.tune_threshold,
+    )
+    log = a.restartable or a.patience is not None
+    outcome = run_training(spark, a.known, a.external, a.output, CHURN, config, log)
     show(outcome.sizes)
     show(outcome.history.orderBy("epoch"))
     print(f"best epoch {outcome.model.best_epoch}")
@@ -90,6 +98,10 @@ def main() -> None:
     training.add_argument("--epochs", type=int, default=defaults.epochs)
     training.add_argument("--learning-rate", type=float, default=defaults.learning_rate)
     training.add_argument("--batch-size", type=int, default=defaults.batch_size)
+    training.add_argument("--groups", type=int, default=defaults.groups)
+    training.add_argument("--patience", type=int)
+    training.add_argument("--restartable", action="store_true")
+    training.add_argument("--tune-threshold", action="store_true")
     stage(diagnose, "known", "external", "model", "output")
     tracking = stage(record, "run", "run-id", "tables")
     tracking.add_argument("--report")

@@ -218,15 +218,17 @@ def correlation(x: str, y: str) -> str:
     )
 
 
-def profile_tables(source: str, features: list[str], label: str) -> str:
+def profile_tables(
+    source: str, features: list[str], label: str, by: str = "dataset", name: str = "profile"
+) -> str:
     """``profile``: one row per dataset and feature."""
     selects = "\nUNION ALL\n".join(
-        f"SELECT dataset, '{c}' AS feature, count({c}) AS row_count, avg({c}) AS mean, "
+        f"SELECT {by}, '{c}' AS feature, count({c}) AS row_count, avg({c}) AS mean, "
         f"stddev_samp({c}) AS std, {correlation(c, label)} AS correlation "
-        f"FROM {source} GROUP BY dataset"
+        f"FROM {source} GROUP BY {by.split(' AS ')[0]}"
         for c in features
     )
-    return f"profile AS ({selects})"
+    return f"{name} AS ({selects})"
 
 
 def report_tables(label: str) -> str:
@@ -254,6 +256,23 @@ SELECT feature, {significant("train_mean")} AS train_mean,
 FROM report"""
 
 
+def drift_sql(by: str, label: str) -> str:
+    """Rows of ``profile`` per ``by`` beside those of ``known``, flagged at 0.1."""
+    return f"""
+SELECT {by}, feature, row_count, {significant("train_mean")} AS train_mean,
+       {significant("test_mean")} AS test_mean,
+       round(shift, 9) AS standardized_mean_shift,
+       round(train_correlation, 9) AS train_correlation_with_{label},
+       round(test_correlation, 9) AS test_correlation_with_{label},
+       round(change, 9) AS correlation_change, round(abs(change), 9) AS absolute_correlation_change,
+       coalesce(abs(shift) > 0.1, FALSE) OR coalesce(abs(change) > 0.1, FALSE) AS drifted
+FROM (
+  SELECT p.{by}, p.feature, p.row_count, k.mean AS train_mean, p.mean AS test_mean,
+         (p.mean - k.mean) / nullif(k.std, 0) AS shift, k.correlation AS train_correlation,
+         p.correlation AS test_correlation, p.correlation - k.correlation AS change
+  FROM profile p JOIN known k ON p.feature = k.feature)"""
+
+
 CUSTOMER_REPORT = (
     FEATURED + "," + profile_tables("features", FEATURES, "churn") + "," + report_tables("churn")
 )
@@ -603,6 +622,111 @@ history AS (
                             ('run-1', 'target', 'customer_churn')""",
     ),
 }
+MONTHLY = """
+orders_monthly AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS month, o_totalprice,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS urgent,
+         CAST(day(o_orderdate) AS DOUBLE) AS day,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS filled
+  FROM orders),
+first_year AS (SELECT * FROM orders_monthly WHERE month < '1996')"""
+_MONTHLY = ["o_totalprice", "urgent", "day"]
+DAILY = """
+daily AS (
+  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, ts, value, CAST(hour(ts) AS DOUBLE) AS hour,
+         CASE WHEN event_type = 'error' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS error
+  FROM events),
+week AS (
+  SELECT * FROM daily
+  WHERE CAST(day AS DATE) < (SELECT min(CAST(day AS DATE)) + 7 FROM daily)),
+closed AS (
+  SELECT * FROM daily
+  WHERE CAST(day AS DATE) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM daily))"""
+_DAILY = ["value", "hour"]
+ORACLES["drift_profile_merged"] = ORACLES["customer_profile"]
+ORACLES["drift_monitor"] = with_(
+    MONTHLY
+    + ","
+    + profile_tables("orders_monthly", _MONTHLY, "filled", "month")
+    + ","
+    + profile_tables("first_year", _MONTHLY, "filled", "'x' AS x", "known"),
+    drift_sql("month", "filled"),
+)
+ORACLES["stream_drift_daily"] = with_(
+    DAILY
+    + ","
+    + profile_tables("closed", _DAILY, "error", "day")
+    + ","
+    + profile_tables("week", _DAILY, "error", "'x' AS x", "known"),
+    drift_sql("day", "error"),
+)
+
+
+def running_counts(source: str, by: str, score: str, label: str) -> str:
+    """``running``: global running counts of each distinct score, and the totals of its group."""
+    return f"""
+by_score AS (
+  SELECT {by} AS g, {score} AS s, sum({label}) AS p, sum(1 - {label}) AS n FROM {source} GROUP BY ALL),
+running AS (
+  SELECT g, s, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
+         CAST(sum(p) OVER (PARTITION BY g) AS BIGINT) AS pos,
+         CAST(sum(n) OVER (PARTITION BY g) AS BIGINT) AS neg
+  FROM by_score WINDOW w AS (PARTITION BY g ORDER BY s DESC))"""
+
+
+def best_sql(source: str, by: str, score: str, label: str) -> str:
+    """``best``: of each group the score with the highest F1, the higher one on ties."""
+    return running_counts(source, by, score, label) + """,
+best AS (
+  SELECT *, neg - fp AS tn, pos - tp AS fn FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY g ORDER BY CAST(2 * tp AS DOUBLE) / (tp + fp + pos) DESC, s DESC) AS place
+    FROM running) WHERE place = 1)"""
+
+
+ORACLES["best_threshold_lineitem"] = with_(
+    LINE_SCORES + "," + best_sql("scores", "l_linestatus", "logit", "large"),
+    f"""SELECT g AS l_linestatus, round(s, 9) AS threshold, pos AS positives, neg AS negatives,
+               tn, fp, fn, tp, {join(f"round({v}, 9) AS {k}" for k, v in THRESHOLD.items())}
+        FROM best""",
+)
+ORACLES["mlp_score_tuned"] = with_(
+    CUSTOMER_SCORES
+    + """,
+known AS (SELECT 1 AS one, round(probability, 6) AS probability, CAST(churn AS INT) AS churn
+          FROM scored WHERE dataset = 'train'),"""
+    + best_sql("known", "one", "probability", "churn"),
+    """SELECT customer_id, dataset, churn,
+              CAST(CASE WHEN probability >= (SELECT s FROM best) THEN 1 ELSE 0 END AS INT) AS prediction
+       FROM scored""",
+)
+CURVE = (
+    EVENT_SCORES
+    + ","
+    + running_counts("scores", "1", "score", "error")
+    + """,
+cells AS (
+  SELECT *, row_number() OVER (PARTITION BY tp * 50 // pos, fp * 50 // neg ORDER BY tp + fp) AS low,
+         row_number() OVER (PARTITION BY tp * 50 // pos, fp * 50 // neg ORDER BY tp + fp DESC) AS high
+  FROM running),
+points AS (
+  SELECT s, tp, fp, pos, neg FROM cells WHERE low = 1 OR high = 1
+  UNION ALL SELECT NULL, 0, 0, max(pos), max(neg) FROM running),
+curve AS (
+  SELECT CAST(row_number() OVER (ORDER BY tp + fp) - 1 AS INT) AS point, s AS threshold,
+         neg - fp AS tn, fp, pos - tp AS fn, tp, fp / neg AS fpr, tp / pos AS tpr,
+         CASE WHEN tp + fp = 0 THEN 1 ELSE tp / (tp + fp) END AS prec FROM points)"""
+)
+ORACLES["roc_points_events"] = with_(
+    CURVE,
+    """SELECT point, round(threshold, 9) AS threshold, tn, fp, fn, tp,
+              round(fpr, 9) AS false_positive_rate, round(tpr, 9) AS true_positive_rate FROM curve""",
+)
+ORACLES["pr_points_events"] = with_(
+    CURVE,
+    """SELECT point, round(threshold, 9) AS threshold, round(prec, 9) AS "precision",
+              round(tpr, 9) AS recall FROM curve""",
+)
 ORACLES["mlp_score_sql"] = ORACLES["mlp_score"]
 ORACLES["mlp_score_saved"] = ORACLES["mlp_score"]
 ORACLES["features_limited_files"] = ORACLES["features"]
@@ -653,3 +777,88 @@ ORACLES["training_shards"] = with_(
     + join(f"CAST(0 AS DOUBLE) AS mean_{c}" for c in LINE_FEATURES)
     + " FROM known_lines",
 )
+
+
+def gradient_sql(source: str, features: list[str], scaler: str, label: str) -> str:
+    """Forward and backward pass of the rule model written out, one mean per parameter."""
+    widths = (len(features), 32, 16, 1)
+
+    def weight(depth: int, i: int, j: int) -> str:
+        return f"CAST({((i * 7 + j * 3 + depth) % 11 - 5) / 10} AS DOUBLE)"
+
+    names = [[f"z_{c}" for c in features], [f"a{j}" for j in range(32)], [f"b{j}" for j in range(16)], ["logit"]]
+    scaled = join(
+        f"({c} - {scaler}.m_{c}) / CASE WHEN {scaler}.s_{c} = 0 THEN 1 ELSE {scaler}.s_{c} END AS z_{c}"
+        for c in features
+    )
+    steps = [f"pass0 AS (SELECT {scaled}, {label} AS y FROM {source}, {scaler})"]
+    for depth in range(3):
+        units = []
+        for j, out in enumerate(names[depth + 1]):
+            terms = [f"{c} * {weight(depth, i, j)}" for i, c in enumerate(names[depth])]
+            total = " + ".join([*terms, weight(depth, widths[depth], j)])
+            units.append(f"{total} AS {out}" if depth == 2 else f"greatest({total}, 0) AS {out}")
+        steps.append(f"pass{depth + 1} AS (SELECT *, {join(units)} FROM pass{depth})")
+    steps.append(f"back2 AS (SELECT *, {sigmoid('logit')} - y AS d2_0 FROM pass3)")
+    for depth in (1, 0):
+        errors = [
+            f"CASE WHEN {name} > 0 THEN "
+            + " + ".join(f"d{depth + 1}_{k} * {weight(depth + 1, j, k)}" for k in range(widths[depth + 2]))
+            + f" ELSE 0 END AS d{depth}_{j}"
+            for j, name in enumerate(names[depth + 1])
+        ]
+        steps.append(f"back{depth} AS (SELECT *, {join(errors)} FROM back{depth + 1})")
+    places = [
+        (depth, i, j) for depth in range(3) for i in range(widths[depth] + 1) for j in range(widths[depth + 1])
+    ]
+    means = join(
+        f"avg(d{d}_{j}{f' * {names[d][i]}' if i < widths[d] else ''}) AS g{n}"
+        for n, (d, i, j) in enumerate(places)
+    )
+    steps.append(f"sums AS (SELECT {means} FROM back0)")
+    columns = [
+        f"unnest([{join(str(p[k]) for p in places)}]) AS {name}" for k, name in enumerate(("layer", "row", "col"))
+    ]
+    gradients = f"unnest([{join(f'g{n}' for n in range(len(places)))}])"
+    return with_(
+        FEATURED
+        + ","
+        + statistics_table(scaler, "(SELECT * FROM features WHERE dataset = 'train')", features, 3)
+        + ","
+        + ",\n".join(steps),
+        f"SELECT {join(columns)}, round({gradients}, 9) AS gradient FROM sums",
+    )
+
+
+ORACLES["mlp_gradient"] = gradient_sql("features", FEATURES, "stats", "churn")
+
+
+def linear_logit(epoch: int) -> str:
+    terms = [
+        f"(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END) * {((i * 7 + epoch * 3) % 11 - 5) / 10}"
+        for i, c in enumerate(LINE_FEATURES)
+    ]
+    return " + ".join([*terms, str(((len(LINE_FEATURES) * 7 + epoch * 3) % 11 - 5) / 10)])
+
+
+ORACLES["epoch_ranking"] = with_(
+    LINES
+    + ","
+    + statistics_table("stats", "lines", LINE_FEATURES, 3)
+    + ", scored AS ("
+    + " UNION ALL ".join(
+        f"SELECT CAST({e} AS INT) AS epoch, round({linear_logit(e)}, 6) AS logit, large FROM lines, stats"
+        for e in (1, 2, 3)
+    )
+    + "),"
+    + ranking_tables("scored", "epoch", "logit", "large"),
+    """SELECT g AS epoch, round(roc_auc, 9) AS roc_auc, round(average_precision, 9) AS average_precision
+       FROM ranking""",
+)
+ORACLES["epoch_table"] = with_(
+    LARGE,
+    """SELECT CAST(unnest([1, 2, 3]) AS INT) AS epoch, row_count, positives, TRUE AS learned, TRUE AS precise
+       FROM (SELECT count(*) AS row_count, CAST(sum(target) AS BIGINT) AS positives
+             FROM marked WHERE dataset = 'external')""",
+)
+ORACLES["verified_replacement"] = ORACLES["features"]

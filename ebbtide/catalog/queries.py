@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from ebbtide.catalog.tables import (
     DATASET,
+    EVENT_FEATURES,
+    ORDER_FEATURES,
     ORDER_LINES,
     customer_clean,
     customer_features,
     customer_raw,
+    event_rows,
+    monthly_orders,
     order_line_features,
     order_lines,
     rule_model,
@@ -22,14 +26,19 @@ from ebbtide.catalog.tables import (
 )
 from ebbtide.functions.columns import cross_entropy, sigmoid
 from ebbtide.operators.clean import clean, conform, dedupe
+from ebbtide.operators.curves import best_threshold, curve_points, tuned
 from ebbtide.operators.drift import (
     align_profiles,
     drift_detected,
     feature_profile,
     largest_changes,
+    report_numbers,
     shift_report,
 )
+from ebbtide.operators.epochs import epoch_table as read_epochs
+from ebbtide.operators.epochs import score_epochs, train_logged
 from ebbtide.operators.features import narrow
+from ebbtide.operators.gradient import full_gradient
 from ebbtide.operators.metrics import (
     METRICS,
     balanced_accuracy,
@@ -40,6 +49,15 @@ from ebbtide.operators.metrics import (
     ranking_metrics,
     threshold_metrics,
 )
+from ebbtide.operators.moments import (
+    feature_moments,
+    merge_moments,
+    origins,
+    profile_of,
+    read_moments,
+    write_moments,
+)
+from ebbtide.operators.monitor import monitor_batches, read_monitor
 from ebbtide.operators.profile import (
     frequency,
     null_audit,
@@ -62,8 +80,10 @@ from ebbtide.sources.documents import (
 from ebbtide.sources.models import load_model, save_model
 from ebbtide.sources.readers import load_features, read_csv, read_parquet
 from ebbtide.sources.scratch import scratch_path
+from ebbtide.sources.versions import read_current, replace_verified
 from ebbtide.sources.writers import verify_rows, write_parquet, write_report_csv
 from ebbtide.spec import CHURN, DatasetSpec
+from ebbtide.streaming.drift import read_drift, stream_drift, utc_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -299,6 +319,72 @@ def shift_stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_report(align_profiles(*sides, ORDER_LINES.label))
 
 
+# --- drift over time -------------------------------------------------------------------------
+
+
+@query
+def drift_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer profile put together from the moments of 31 days, customers dealt to days by key,
+    one half of the days added to the store after the other."""
+    rows = stored(customer_features(spark, sf_dir), "features")
+    daily = rows.withColumn("day", F.lpad((F.col("customer_id") % 31).cast("string"), 2, "0"))
+    path, near = scratch_path(spark, "profiles"), origins(rows, CHURN.features)
+    for half in (F.col("day") < "16", F.col("day") >= "16"):
+        moments = feature_moments(
+            daily.filter(half), CHURN.features, CHURN.label, ["day", DATASET], near
+        )
+        write_moments(moments.withColumn("day", F.concat_ws("-", DATASET, "day")), path, "day")
+    store = read_moments(spark, path, "day")
+    tagged = store.withColumn(DATASET, F.substring_index("day", "-", 1))
+    return _rounded_profile(profile_of(merge_moments(tagged, [DATASET]), [DATASET]))
+
+
+def _rounded_drift(report: DataFrame, label: str) -> DataFrame:
+    means = ["train_mean", "test_mean"]
+    rest = [c for c in report_numbers(label) if c not in means]
+    return rounded(significant(report, means), rest)
+
+
+@query
+def drift_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders month by month against the profile of the first year. The job runs over the months before
+    1999, then over all of them, of which it reads the later ones only, then again for nothing."""
+    rows, target = monthly_orders(spark, sf_dir), scratch_path(spark, "monitor")
+    first_year = rows.filter(F.col("month") < "1996")
+    reference = stored(feature_profile(first_year, ORDER_FEATURES, "filled"), "reference")
+    near = origins(first_year, ORDER_FEATURES)
+    for part in (rows.filter(F.col("month") < "1999"), rows, rows):
+        monitor_batches(part, "month", ORDER_FEATURES, "filled", reference, target, origin=near)
+    return _rounded_drift(read_monitor(spark, target, "month", "filled"), "filled")
+
+
+@query
+def stream_drift_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream, day by day against the profile of the first week: days that the watermark
+    has passed."""
+    known = table(spark, sf_dir, "events")
+    rows = event_rows(known)
+    start = rows.agg(F.min(utc_day(F.col("time")))).scalar()
+    week = rows.filter(utc_day(F.col("time")) < F.date_add(start, 7))
+    reference = stored(feature_profile(week, EVENT_FEATURES, "error"), "reference")
+    events = spark.readStream.schema(known.schema).parquet(f"{sf_dir}/event[s].parquet")
+    target = scratch_path(spark, "drift")
+    stream_drift(
+        event_rows(events),
+        "time",
+        EVENT_FEATURES,
+        "error",
+        reference,
+        target,
+        scratch_path(spark, "drift-checkpoint"),
+    ).awaitTermination()
+    report = _rounded_drift(read_drift(spark, target, "error"), "error")
+    day = utc_day(F.col("start")).cast("string")
+    return report.select(
+        day.alias("day"), "feature", "row_count", *report_numbers("error"), "drifted"
+    )
+
+
 # --- scoring and metrics ---------------------------------------------------------------------
 
 
@@ -435,6 +521,46 @@ def evaluation_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate(scored, CHURN.label, [DATASET]), [*METRICS, "balanced_accuracy"])
 
 
+@query
+def best_threshold_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logit from which on ``large`` is predicted with the highest F1."""
+    best = best_threshold(_lineitem_scores(spark, sf_dir), "large", "logit", ["l_linestatus"])
+    return rounded(best, ["threshold", "accuracy", "precision", "recall", "f1"])
+
+
+@query
+def mlp_score_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions at the threshold that is best for the training customers, stored with the model and
+    loaded again. Probabilities are compared to six digits."""
+    rows = stored(customer_features(spark, sf_dir), "features")
+    training = rows.filter(F.col(DATASET) == "train")
+    model = rule_model(fit_scaler(training, CHURN.features))
+    scored = rounded(score(training, model, CHURN.label), ["probability"], ROW_DIGITS)
+    path = save_model(spark, tuned(model, scored, CHURN.label), scratch_path(spark, "model"))
+    predicted = score(rows, load_model(spark, path), CHURN.label)
+    return predicted.select("customer_id", DATASET, "churn", "prediction")
+
+
+CURVE_STEPS = 50
+
+
+def _event_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_points(_event_scores(spark, sf_dir), "error", "score", steps=CURVE_STEPS)
+
+
+@query
+def roc_points_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = ["false_positive_rate", "true_positive_rate"]
+    points = _event_curve(spark, sf_dir).select("point", "threshold", "tn", "fp", "fn", "tp", *rates)
+    return rounded(points, ["threshold", *rates])
+
+
+@query
+def pr_points_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _event_curve(spark, sf_dir).select("point", "threshold", "precision", "recall")
+    return rounded(points, ["threshold", "precision", "recall"])
+
+
 # --- runs ------------------------------------------------------------------------------------
 
 
@@ -524,6 +650,48 @@ def training_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.withColumns({f"mean_{c}": F.abs(f"mean_{c}") for c in spec.features})
 
 
+@query
+def mlp_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient of the rule model over all customers: one number per parameter."""
+    rows = stored(customer_features(spark, sf_dir), "features")
+    model = rule_model(fit_scaler(rows.filter(F.col(DATASET) == "train"), CHURN.features))
+    return rounded(full_gradient(rows, model, CHURN.label), ["gradient"])
+
+
+@query
+def epoch_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking metrics of three sets of weights from rows that are scored once by all of them."""
+    rows = order_line_features(spark, sf_dir)
+    scaler = rule_model(fit_scaler(rows, ORDER_LINES.features)).scaler
+    inputs = len(scaler.features) + 1
+    snapshots = [[((i * 7 + epoch * 3) % 11 - 5) / 10 for i in range(inputs)] for epoch in (1, 2, 3)]
+    scored = score_epochs(rows, snapshots, (inputs - 1, 1), scaler, "large", digits=ROW_DIGITS)
+    ranked = ranking_metrics(scored, "large", "logit", ["epoch"], cut_by_group=True)
+    return rounded(ranked, ["roc_auc", "average_precision"])
+
+
+@query
+def epoch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training that stops after its first epoch and is started again for two more: the rows of its
+    epochs, and whether the model ranks the external lines better than by chance after each."""
+    rows, spec = _large_lines(spark, sf_dir)
+    table_rows = stored(rows, "features")
+    known = table_rows.filter(F.col(DATASET) == "train").drop(DATASET)
+    external = table_rows.filter(F.col(DATASET) == "external").drop(DATASET)
+    scaler, config = fit_scaler(known, spec.features), TrainConfig(epochs=3, batch_size=256)
+    shards, log = shard_rows(known, spec.keys, scaler, spec.label, config), scratch_path(spark, "log")
+    for epochs in (1, 3):
+        train_logged(shards, external, scaler, spec.label, replace(config, epochs=epochs), log)
+    done, positives = read_epochs(spark, log), F.col("tp") + F.col("fn")
+    return done.select(
+        "epoch",
+        "row_count",
+        positives.alias("positives"),
+        (F.col("roc_auc") > 0.6).alias("learned"),
+        (F.col("average_precision") > positives / F.col("row_count")).alias("precise"),
+    )
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
@@ -588,3 +756,20 @@ def split_composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "F").cast("int").alias("filled"),
     )
     return split_exact(rows, ["first", "second"], "filled").select("o_orderkey", "filled", "split")
+
+
+@query
+def verified_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the training customers are replaced by those of all; a third replacement, which
+    promises more rows than it has, fails and leaves the second in use."""
+    rows, path = stored(customer_features(spark, sf_dir), "features"), scratch_path(spark, "table")
+    training = rows.filter(F.col(DATASET) == "train")
+    replace_verified(training, path)
+    replace_verified(rows, path, rows.count())
+    try:
+        replace_verified(training, path, rows.count() + 1)
+    except RuntimeError:
+        pass
+    else:
+        raise AssertionError("a replacement that is not complete went through")
+    return read_current(spark, path)

@@ -11,6 +11,7 @@ from ebbtide.operators.features import build_features
 from ebbtide.operators.scale import Scaler
 from ebbtide.operators.score import Model
 from ebbtide.spec import CHURN, DatasetSpec
+from ebbtide.streaming.drift import utc_time
 
 DATASET = "dataset"
 
@@ -122,6 +123,31 @@ def order_line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(rows, ORDER_LINES, keep=["large", DATASET])
 
 
+# Orders by month and events by day, for drift over time.
+ORDER_FEATURES = ("o_totalprice", "urgent", "day")
+EVENT_FEATURES = ("value", "hour")
+
+
+def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        "o_totalprice",
+        (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"),
+        F.dayofmonth("o_orderdate").cast("double").alias("day"),
+        (F.col("o_orderstatus") == "F").cast("double").alias("filled"),
+    )
+
+
+def event_rows(events: DataFrame) -> DataFrame:
+    """Events, stored or streamed, with ``time`` as UTC."""
+    return events.select(
+        utc_time("ts").alias("time"),
+        "value",
+        F.hour("ts").cast("double").alias("hour"),
+        (F.col("event_type") == "error").cast("double").alias("error"),
+    )
+
+
 def rule_model(scaler: Scaler, hidden: tuple[int, ...] = (32, 16)) -> Model:
     """A model with weights from a rule and statistics to 3 decimals, so that scores of single
     rows can be compared across engines."""

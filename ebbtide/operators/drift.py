@@ -60,11 +60,27 @@ def feature_profile(
     return wide.select(*by, F.inline(rows))
 
 
-def _report(aligned: DataFrame, label: str) -> DataFrame:
+def report_numbers(label: str) -> list[str]:
+    """The columns of a report after the feature."""
+    return [
+        "train_mean",
+        "test_mean",
+        "standardized_mean_shift",
+        f"train_correlation_with_{label}",
+        f"test_correlation_with_{label}",
+        "correlation_change",
+        "absolute_correlation_change",
+    ]
+
+
+def report_columns(
+    aligned: DataFrame, label: str, by: Sequence[str | Column] = ()
+) -> DataFrame:
     """Report columns from ``train_*`` and ``test_*`` statistics side by side."""
     std = F.nullif(F.col("train_std"), F.lit(0.0))
     change = F.col("test_correlation") - F.col("train_correlation")
     return aligned.select(
+        *by,
         "feature",
         "train_mean",
         "test_mean",
@@ -83,7 +99,7 @@ def align_profiles(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
         profile.select("feature", *[F.col(c).alias(f"{side}_{c}") for c in STATISTICS])
         for side, profile in (("train", train), ("test", test))
     ]
-    return _report(sides[0].join(sides[1], "feature", "full_outer"), label)
+    return report_columns(sides[0].join(sides[1], "feature", "full_outer"), label)
 
 
 def shift_report(
@@ -103,7 +119,7 @@ def shift_report(
         for c in STATISTICS
     }
     aligned = profile.groupBy("feature").agg(*[c.alias(k) for k, c in picked.items()])
-    return _report(aligned, label)
+    return report_columns(aligned, label)
 
 
 def largest_changes(report: DataFrame, label: str, n: int = TOP) -> DataFrame:

@@ -83,10 +83,12 @@ def cumulative_counts(
     by: Sequence[str] = (),
     sums: Sequence[Column] = (),
     ranges: int | None = None,
+    cut_by_group: bool = False,
 ) -> DataFrame:
     """One row per distinct score: its positives and negatives, and ``tp``/``fp`` counted over
     all scores at least as high. ``sums`` are further aggregates per score. ``ranges``, a power of
-    two, sets how many parts are sorted side by side; the result does not depend on it.
+    two, sets how many parts are sorted side by side; the result does not depend on it. Ranges are cut
+    at quantiles of all scores, or, for few groups whose scores differ, at those of each group.
 
     The group columns come back as one struct ``group``; structs compare equal on NULL fields,
     so rows of a NULL group are not lost in the join.
@@ -105,10 +107,15 @@ def cumulative_counts(
     # as in the rest of the plan, and its exchange runs once.
     quantiles = F.percentile_approx("score", [i / n for i in range(1, n)], 4 * n)
     others = [F.max(c).alias(c) for c in scores.columns if c not in ("group", "score")]
-    bounds = scores.agg(F.struct(quantiles.alias("bounds"), *others)).scalar()["bounds"]
+    if cut_by_group:
+        bounds = scores.groupBy("group").agg(quantiles.alias("_bounds"))
+        bounded = scores.join(bounds, "group")
+    else:
+        bounds = scores.agg(F.struct(quantiles.alias("bounds"), *others)).scalar()["bounds"]
+        bounded = scores.select("*", bounds.alias("_bounds"))
     # each search step refers to the alias of the one before
     steps = upper_bound_index(F.col("score"), F.col("_bounds"), n)
-    searched = scores.select("*", bounds.alias("_bounds"), *[c.alias(name) for name, c in steps])
+    searched = bounded.select("*", *[c.alias(name) for name, c in steps])
     placed = searched.select(*scores.columns, F.col(steps[-1][0]).alias("range"))
 
     totals = placed.groupBy("group", "range").agg(
@@ -160,10 +167,10 @@ def _ranking_columns() -> dict[str, Column]:
 
 
 def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = ()
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), cut_by_group: bool = False
 ) -> DataFrame:
     """ROC AUC (ties count one half) and average precision (step form)."""
-    counts = cumulative_counts(df, label, score, by)
+    counts = cumulative_counts(df, label, score, by, cut_by_group=cut_by_group)
     metrics = [c.alias(k) for k, c in _ranking_columns().items()]
     grouped = counts.groupBy("group") if by else counts.groupBy()
     return grouped.agg(*_ranking_sums()).select(*[f"group.{c}" for c in by], *metrics)
@@ -176,10 +183,12 @@ def evaluate(
     probability: str = "probability",
     loss: str = "loss",
     threshold: float = 0.5,
+    cut_by_group: bool = False,
 ) -> DataFrame:
     """All metrics of a scored table per group: row count, the confusion matrix, the metrics of
     ``METRICS`` and balanced accuracy, from one pass over the rows."""
-    counts = cumulative_counts(scored, label, probability, by, [F.sum(loss).alias("_loss")])
+    losses = [F.sum(loss).alias("_loss")]
+    counts = cumulative_counts(scored, label, probability, by, losses, cut_by_group=cut_by_group)
     p, n, hit = F.col("positives"), F.col("negatives"), decision(F.col("score"), threshold)
     grouped = counts.groupBy("group") if by else counts.groupBy()
     total = grouped.agg(

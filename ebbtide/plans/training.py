@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.operators.curves import tuned
+from ebbtide.operators.epochs import epoch_table, train_logged
 from ebbtide.operators.metrics import best_epoch, evaluate
 from ebbtide.operators.scale import fit_scaler
 from ebbtide.operators.score import Model, score
@@ -42,10 +44,17 @@ def _materialised(df: DataFrame) -> DataFrame:
 
 
 def train_and_evaluate(
-    known: DataFrame, external: DataFrame, spec: DatasetSpec, config: TrainConfig
+    known: DataFrame,
+    external: DataFrame,
+    spec: DatasetSpec,
+    config: TrainConfig,
+    log: str | None = None,
 ) -> Outcome:
     """Split the known rows, fit scaler and network on the training part, pick the epoch with the
-    best validation F1, evaluate on validation, internal test and external rows."""
+    best validation F1, evaluate on validation, internal test and external rows.
+
+    With a ``log`` folder every epoch is evaluated and written down as it ends, with ranking metrics;
+    training ends early with ``config.patience``, and goes on from the log when it is started again."""
     cuts = fit_split(known, spec.keys, spec.label, seed=config.seed)
     tagged = cuts.assign(known)
     everything = tagged.unionByName(external.withColumn("split", F.lit(EXTERNAL_TEST)))
@@ -53,12 +62,17 @@ def train_and_evaluate(
     training_rows = tagged.filter(F.col("split") == TRAIN).drop("split")
     scaler = fit_scaler(training_rows, spec.features)
     shards = shard_rows(training_rows, spec.keys, scaler, spec.label, config)
-    fitted = train(shards, spec.features, config)
-
     validation = tagged.filter(F.col("split") == VALIDATION)
-    history = _materialised(epoch_history(validation, fitted, scaler, spec.label, config))
+    if log is None:
+        fitted = train(shards, spec.features, config)
+        history = _materialised(epoch_history(validation, fitted, scaler, spec.label, config))
+    else:
+        fitted = train_logged(shards, validation, scaler, spec.label, config, log)
+        history = _materialised(epoch_table(known.sparkSession, log))
     best = best_epoch(history).first()["best_epoch"]
     model = pick_model(fitted, scaler, best or 0, config)
+    if config.tune_threshold:
+        model = tuned(model, score(validation, model, spec.label), spec.label)
 
     held_out = everything.filter(F.col("split") != TRAIN)
     scored = score(held_out, model, spec.label)
@@ -66,12 +80,14 @@ def train_and_evaluate(
     return Outcome(model, cuts, history, evaluation, sizes)
 
 
-def parameters_of(config: TrainConfig, spec: DatasetSpec) -> dict[str, object]:
+def parameters_of(
+    config: TrainConfig, spec: DatasetSpec, threshold: float | None = None
+) -> dict[str, object]:
     return {
         "batch_size": config.batch_size,
         "epochs": config.epochs,
         "learning_rate": config.learning_rate,
-        "prediction_threshold": config.threshold,
+        "prediction_threshold": threshold if threshold is not None else config.threshold,
         "input_features": len(spec.features),
         "random_seed": config.seed,
     }
@@ -84,21 +100,24 @@ def run_training(
     target: str,
     spec: DatasetSpec,
     config: TrainConfig | None = None,
+    restartable: bool = False,
 ) -> Outcome:
-    """Train on stored feature tables; write ``model/``, ``metrics/`` and ``history/``."""
+    """Train on stored feature tables; write ``model/``, ``metrics/`` and ``history/``, and, if
+    ``restartable``, ``log/`` while training runs."""
     config = config or TrainConfig()
     outcome = train_and_evaluate(
         load_features(spark, known_path, spec),
         load_features(spark, external_path, spec),
         spec,
         config,
+        f"{target}/log" if restartable else None,
     )
     save_model(spark, outcome.model, f"{target}/model")
     document = metrics_document(
         spark,
         outcome.evaluation,
         outcome.sizes,
-        parameters_of(config, spec),
+        parameters_of(config, spec, outcome.model.threshold),
         outcome.model.best_epoch,
     )
     write_document(document, f"{target}/metrics")

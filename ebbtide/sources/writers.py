@@ -48,13 +48,18 @@ def write_report_csv(report: DataFrame, path: str, first: str = "feature") -> st
     return path
 
 
-def replace_run(df: DataFrame, path: str) -> str:
-    """Add the rows of a run to a run table; rows that the same run has there are replaced."""
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """Add rows to a partitioned table; partitions that ``df`` has rows for are replaced as a whole."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_id").parquet(path)
+    writer.partitionBy(*partition_by).parquet(path)
     return path
 
 
+def replace_run(df: DataFrame, path: str) -> str:
+    """Add the rows of a run to a run table; rows that the same run has there are replaced."""
+    return replace_partitions(df, path, ["run_id"])
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """A run table; run ids stay texts, also those that look like numbers."""
     stored = spark.read.option("inferSchema", False).parquet(path)
