@@ -2,16 +2,19 @@
 
 Markup is the first filter: navigation, headers, footers, sidebars, forms, scripts, notices, adverts and
 comments are left out, and of a page that marks its article (``article`` or ``main``) only that is a
-candidate; what lies outside takes part as evidence.
+candidate; what lies outside takes part as evidence where other pages of the host mark none.
 
-The token streams of a host are then sorted to suffix arrays. A string of ``MIN_RUN`` tokens or more that
-stands on several distinct pages of the host is boilerplate: what the pages share is their frame. Blocks
-that such strings cover go, in marked articles too; blocks with text of their own stay. Pages whose
-candidates are nearly equal count as one, so that a page's copies do not make its text a frame.
+The token streams of a host, one per block, are then sorted to suffix arrays. A string of ``MIN_RUN``
+tokens or more that stands on several distinct pages of the host is boilerplate: what the pages share is
+their frame. Blocks that such strings cover go; blocks with text of their own stay. What a page marks as
+its article is part of the document, so a string goes from there only if most pages have it in theirs; so
+does a block of fewer tokens, which is one string by itself, from any page. Pages whose candidates are
+nearly equal count as one, so that a page's copies do not make its text a frame.
 
 A host's pages are dealt to shards of bounded size, a suffix array each, so that no host, however large,
-is one task. Shards only count: near-equal pages share a shard, the counts of a run are added up over all
-shards of its host, and the frames of the whole host go back to its pages.
+is one task. A string on a share of a host's pages has that share in at least one of its shards: what a
+shard finds on too few of its own pages stays there, and what is left is counted in all shards of the
+host. The frames go back to the pages of hosts that have any.
 """
 
 from __future__ import annotations
@@ -26,17 +29,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from ebbtide.llm.common import durable, mixed
+from ebbtide.llm.common import mixed, scratch_path, shared_dir, slices
 from ebbtide.llm.suffix import doubled_ranks
 
 MIN_RUN = 6
-#: A run is a frame when it is on this many distinct pages of the host, and on this share of them.
+#: A run is a frame when it is on this many distinct pages of the host, and on this share of them; in
+#: marked articles, and for blocks shorter than a run, on the larger share.
 MIN_PAGES = 3
 MIN_SHARE = 0.05
+MOST_SHARE = 0.5
 #: Share of a block's tokens that must be covered for the block to go.
 COVERED = 0.8
-SHARD_BYTES = 4 << 20
+#: Bytes of text of a shard.
+SHARD_BYTES = 2 << 20
 
 # Elements by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -209,191 +217,271 @@ class Words:
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
 
-    def of(self, blocks: list[str]) -> np.ndarray:
-        """Hashes of the tokens of the blocks, one after another."""
+    def of(self, block: str) -> np.ndarray:
+        """Hashes of the tokens of a block."""
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         out = []
-        for block in blocks:
-            for word in block.split(" "):
-                value = self.known.get(word)
-                if value is None:
-                    digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    value = self.known[word] = int.from_bytes(digest, "little")
-                out.append(value)
+        for word in block.split(" "):
+            value = self.known.get(word)
+            if value is None:
+                digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                value = self.known[word] = int.from_bytes(digest, "little")
+            out.append(value)
         return np.array(out, np.uint64)
 
 
 def runs_of(words: np.ndarray) -> np.ndarray:
-    """Hash of the run of ``MIN_RUN`` tokens at every start."""
+    """Hash of the run of ``MIN_RUN`` tokens at every start; of a shorter block one of all its tokens and
+    their number, which is unlike any run's."""
+    if len(words) < MIN_RUN:
+        total = np.array([len(words)], np.uint64)
+        for word in words:
+            total = total * _STEP + word
+        return mixed(total ^ _OTHER).view(np.int64)
     n = len(words) - MIN_RUN + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
     total = np.zeros(n, np.uint64)
     for k in range(MIN_RUN):
         total = total * _STEP + words[k : k + n]
     return mixed(total).view(np.int64)
 
 
-def likeness(words: np.ndarray) -> int:
-    """Equal for equal streams, and for nearly equal ones most likely: two least hashes of their runs."""
-    runs = runs_of(words).view(np.uint64)
-    if not len(runs):
-        runs = mixed(np.array([len(words), *words.tolist()], np.uint64).cumsum(dtype=np.uint64))[-1:]
+def likeness(blocks: list[np.ndarray]) -> int:
+    """Equal for equal pages, and for nearly equal ones most likely: two least hashes of their runs."""
+    runs = np.concatenate([runs_of(w) for w in blocks]).view(np.uint64) if blocks else np.zeros(1, np.uint64)
     least = np.array([runs.min(), mixed(runs ^ _OTHER).min()], np.uint64)
     return int((mixed(least[:1]) * _STEP + mixed(least[1:])).view(np.int64)[0])
 
 
-def counted_runs(streams: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct runs of a shard, and on how many pages each is. A page is a list of token
-    streams. In suffix order the starts of equal runs are neighbours."""
-    parts = [(i, words) for i, page in enumerate(streams) for words in page if len(words) >= MIN_RUN]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(words) for _, words in parts])
-    first = np.cumsum(sizes) - sizes
-    starts = np.concatenate([at + np.arange(n - MIN_RUN + 1) for at, n in zip(first, sizes, strict=True)])
-    page = np.repeat(np.array([i for i, _ in parts]), sizes - MIN_RUN + 1)
-    tokens = np.unique(np.concatenate([words for _, words in parts]), return_inverse=True)[1]
-    rank = doubled_ranks(tokens, 1, starts, MIN_RUN)
-    values, at, rank = np.unique(rank, return_index=True, return_inverse=True)
-    on = np.unique(rank * len(streams) + page) // len(streams)
-    runs = np.concatenate([runs_of(words) for _, words in parts])[at]
-    return runs, np.bincount(on, minlength=len(values))
-
-
-def without_frame(blocks: list[str], words: np.ndarray, frames: np.ndarray) -> list[str]:
-    """The blocks of a page that the runs ``frames`` do not cover."""
-    cover = np.zeros(len(words) + 1, np.int64)
-    hit = np.flatnonzero(np.isin(runs_of(words), frames))
-    np.add.at(cover, hit, 1)
-    np.add.at(cover, hit + MIN_RUN, -1)
-    framed = np.cumsum(cover)[:-1] > 0
-    kept, at = [], 0
+def counted_runs(pages: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct runs of a shard, and on how many pages each is. A page is a list of blocks.
+    In suffix order the starts of equal runs are neighbours."""
+    short = [(i, w) for i, page in enumerate(pages) for w in page if len(w) < MIN_RUN]
+    long = [(i, w) for i, page in enumerate(pages) for w in page if len(w) >= MIN_RUN]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    if long:
+        sizes = np.array([len(w) for _, w in long])
+        first = np.cumsum(sizes) - sizes
+        starts = np.concatenate([at + np.arange(n - MIN_RUN + 1) for at, n in zip(first, sizes, strict=True)])
+        page = np.repeat(np.array([i for i, _ in long]), sizes - MIN_RUN + 1)
+        tokens = np.unique(np.concatenate([w for _, w in long]), return_inverse=True)[1]
+        rank = doubled_ranks(tokens, 1, starts, MIN_RUN)
+        values, at, rank = np.unique(rank, return_index=True, return_inverse=True)
+        on = np.unique(rank * len(pages) + page) // len(pages)
+        runs = np.concatenate([runs_of(w) for _, w in long])[at]
+        found.append((runs, np.bincount(on, minlength=len(values))))
+    if short:
+        keys = np.concatenate([runs_of(w) for _, w in short])
+        values, which = np.unique(keys, return_inverse=True)
+        on = np.unique(which * len(pages) + np.array([i for i, _ in short])) // len(pages)
+        found.append((values, np.bincount(on, minlength=len(values))))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def without_frame(blocks: list[str], words: Words, some: np.ndarray, most: np.ndarray) -> list[str]:
+    """The blocks that the runs ``some`` (short blocks: ``most``) do not cover."""
+    kept = []
     for block in blocks:
-        n = block.count(" ") + 1
-        if framed[at : at + n].mean() < COVERED:
+        tokens = words.of(block)
+        if len(tokens) < MIN_RUN:
+            framed = 1.0 if np.isin(runs_of(tokens), most)[0] else 0.0
+        else:
+            hit = np.flatnonzero(np.isin(runs_of(tokens), some))
+            cover = np.zeros(len(tokens) + 1, np.int64)
+            np.add.at(cover, hit, 1)
+            np.add.at(cover, hit + MIN_RUN, -1)
+            framed = (np.cumsum(cover)[:-1] > 0).mean()
+        if framed < COVERED:
             kept.append(block)
-        at += n
     return kept
 
 
-def _candidates(parsed: Parsed) -> list[str]:
-    return parsed.rest if parsed.article is None else parsed.article
+# --- hosts ------------------------------------------------------------------------------------
+
+_PARSED = (
+    "url string, host string, marked boolean, blocks array<string>, outside array<string>, "
+    "likeness long, mark long, bytes long"
+)
 
 
-def _evidence(rows: DataFrame) -> DataFrame:
-    """``host, likeness, mark, blocks, outside``: what the pages of a host are counted by. Of pages that
-    are alike only those with the smallest mark so far leave a task."""
+def _parsed(rows: DataFrame, id_type: str) -> DataFrame:
+    """Every page parsed once, in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        least: dict[tuple[str, int], int] = {}
-        for batch in batches:
+        for batch in slices(batches, "html", 4 << 20):
             out = []
-            for page, host in zip(batch.column(0), batch.column(1), strict=True):
+            for page in batch.column(2):
                 parsed = parse(page.as_py() or "")
-                blocks, name = _candidates(parsed), host.as_py()
-                alike = likeness(words.of(blocks))
+                marked = parsed.article is not None
+                blocks = parsed.article if marked else parsed.rest
                 text = "\n".join([*blocks, "", *parsed.outside]).encode("utf-8", "surrogatepass")
                 mark = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-                if mark < least.get((name, alike), 1 << 63):
-                    least[name, alike] = mark
-                    out.append((name, alike, mark, blocks, parsed.outside))
-            if len(least) > MOST_WORDS:
-                least.clear()
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
+                alike = likeness([words.of(b) for b in blocks])
+                out.append((marked, blocks, parsed.outside, alike, mark, len(text)))
+            kinds = [pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), *[pa.int64()] * 3]
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["host", "likeness", "mark", "blocks", "outside"],
+                [batch.column(0), batch.column(1), batch.column(3), *columns],
+                names=["page_id", "url", "host", "marked", "blocks", "outside", "likeness", "mark", "bytes"],
             )
 
-    schema = "host string, likeness long, mark long, blocks array<string>, outside array<string>"
-    return rows.select("html", "host").mapInArrow(run, schema)
+    schema = f"page_id {id_type}, {_PARSED}"
+    parsed = rows.select("page_id", "url", "html", "host").mapInArrow(run, schema)
+    return _stored(parsed, "pages")
 
 
-def frames_of(rows: DataFrame, shards: DataFrame) -> DataFrame:
-    """``host, run``: the frames of whole hosts."""
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: the files say how large it is."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    def count(shard: pa.Table) -> pa.Table:
-        held = {}
-        for row in shard.select(["likeness", "mark", "blocks", "outside"]).to_pylist():
-            if row["likeness"] not in held or row["mark"] < held[row["likeness"]]["mark"]:
-                held[row["likeness"]] = row
-        words = Words()
-        pages = [[words.of(r["blocks"]), words.of(r["outside"])] for r in held.values()]
-        runs, n = counted_runs(pages)
-        whole = shard.column("_shards")[0].as_py() == 1
-        if whole:  # nothing to add: the shard is the host
-            kept = n >= max(MIN_PAGES, MIN_SHARE * len(pages))
-            runs, n = runs[kept], n[kept]
-        host = [shard.column("host")[0].as_py()] * (len(runs) + 1)
+
+def _evidence(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``host, shard, shards, likeness, mark, blocks``: what the pages of a host are counted by. Of pages
+    that are alike only those with the smallest mark so far leave a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            kept = []
+            columns = (batch.column(n).to_pylist() for n in ("host", "likeness", "mark"))
+            for i, (host, alike, mark) in enumerate(zip(*columns, strict=True)):
+                if mark < least.get((host, alike), 1 << 63):
+                    least[host, alike] = mark
+                    kept.append(i)
+            if len(least) > MOST_WORDS:
+                least.clear()
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    blocks = F.when(F.col("loose"), F.concat("blocks", "outside")).otherwise(F.col("blocks"))
+    dealt = parsed.join(hosts, "host").select(
+        "host",
+        F.pmod("likeness", F.col("shards")).alias("shard"),
+        "shards",
+        "loose",
+        "likeness",
+        "mark",
+        blocks.alias("blocks"),
+    )
+    return dealt.mapInArrow(run, dealt.schema)
+
+
+def _distinct_pages(shard: pa.Table) -> list[list[np.ndarray]]:
+    held: dict[int, dict] = {}
+    for row in shard.select(["likeness", "mark", "blocks"]).to_pylist():
+        if row["likeness"] not in held or row["mark"] < held[row["likeness"]]["mark"]:
+            held[row["likeness"]] = row
+    words = Words()
+    return [[words.of(b) for b in row["blocks"]] for row in held.values()]
+
+
+def frames_of(parsed: DataFrame, hosts: DataFrame, groups: int) -> DataFrame:
+    """``host, run, most``: the frames of whole hosts, and whether most pages have them."""
+    counted = "host string, run long, n long, pages long, loose boolean, whole boolean"
+    nothing = to_arrow_schema(StructType.fromDDL(counted)).empty_table()
+
+    def least(pages: int, loose: bool) -> float:
+        """Pages that make a frame, if all are known."""
+        return max(MIN_PAGES, (MIN_SHARE if loose else MOST_SHARE) * pages)
+
+    def table(shard: pa.Table, runs: np.ndarray, n: np.ndarray, pages: int) -> pa.Table:
+        first = {c: shard.column(c)[0].as_py() for c in ("host", "loose", "shards")}
+        size = len(runs) + 1
         return pa.table(
             {
-                "host": pa.array(host, pa.string()),
+                "host": pa.array([first["host"]] * size, pa.string()),
                 "run": pa.array([None, *runs.tolist()], pa.int64()),
-                "n": pa.array([len(pages), *n.tolist()], pa.int64()),
-                "whole": pa.array([whole] * len(host), pa.bool_()),
+                "n": pa.array([pages, *n.tolist()], pa.int64()),
+                "pages": pa.array([pages] * size, pa.int64()),
+                "loose": pa.array([first["loose"]] * size, pa.bool_()),
+                "whole": pa.array([first["shards"] == 1] * size, pa.bool_()),
             }
         )
 
-    dealt = _evidence(rows).join(shards, F.col("host") == F.col("_host")).withColumn(
-        "shard", F.pmod("likeness", F.col("_shards"))
+    def count(shard: pa.Table) -> pa.Table:
+        pages = _distinct_pages(shard)
+        runs, n = counted_runs(pages)
+        loose, whole = shard.column("loose")[0].as_py(), shard.column("shards")[0].as_py() == 1
+        share = (MIN_SHARE if loose else MOST_SHARE) * len(pages)
+        kept = n >= (least(len(pages), loose) if whole else share)
+        return table(shard, runs[kept], n[kept], len(pages))
+
+    def recount(shard: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not shard.num_rows:
+            return nothing
+        pages = _distinct_pages(shard)
+        candidates = np.unique(wanted.column("run").to_numpy()) if wanted.num_rows else np.zeros(0, np.int64)
+        n = np.zeros(len(candidates), np.int64)
+        for page in pages if len(candidates) else []:
+            runs = np.unique(np.concatenate([runs_of(w) for w in page])) if page else np.zeros(0, np.int64)
+            n += np.isin(candidates, runs)
+        return table(shard, candidates, n, len(pages))
+
+    key = ["host", "shard"]
+    dealt = _evidence(parsed, hosts)
+    first = _stored(
+        dealt.repartition(groups, *key).groupBy(*key).applyInArrow(count, counted), "runs"
     )
-    columns = ["host", "shard", "_shards", "likeness", "mark", "blocks", "outside"]
-    counts = durable(
-        dealt.select(*columns)
-        .groupBy("host", "shard")
-        .applyInArrow(count, "host string, run long, n long, whole boolean")
-        .groupBy("host", "whole", "run")
-        .agg(F.sum("n").alias("n"))
-        .filter((F.col("run").isNull() & ~F.col("whole")) | (F.col("n") >= MIN_PAGES))
+    whole = first.filter("whole AND run IS NOT NULL")
+    # hosts of several shards: what some shard has on enough of its pages is counted in all of them
+    wanted = first.filter("NOT whole AND run IS NOT NULL").select("host", "run").distinct()
+    spread = wanted.join(hosts.filter("shards > 1"), "host").select(
+        "host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "run"
     )
-    # hosts of several shards: no more than shards
-    pages = counts.filter("run is null and not whole").select("host", F.col("n").alias("_pages"))
-    found = counts.filter("run is not null")
-    across = found.filter("not whole").join(F.broadcast(pages), "host").filter(
-        F.col("n") >= MIN_SHARE * F.col("_pages")
+    large = dealt.filter("shards > 1")
+    again = (
+        large.repartition(groups, *key)
+        .groupBy(*key)
+        .cogroup(spread.repartition(groups, *key).groupBy(*key))
+        .applyInArrow(recount, counted)
+        .groupBy("host", "run")
+        .agg(F.sum("n").alias("n"), F.first("loose").alias("loose"))
     )
-    return found.filter("whole").select("host", "run").unionByName(across.select("host", "run"))
-
-
-def _texts(rows: DataFrame, shards: DataFrame, frames: DataFrame, id_type: str) -> DataFrame:
-    """Texts of all pages without the frames of their hosts."""
+    again = _stored(again, "recounted")
+    totals = again.filter("run IS NULL").select("host", F.col("n").alias("pages"))
+    share = F.when(F.col("loose"), F.lit(MIN_SHARE)).otherwise(F.lit(MOST_SHARE))
+    across = (
+        again.filter("run IS NOT NULL")
+        .join(totals, "host")
+        .filter((F.col("n") >= MIN_PAGES) & (F.col("n") >= share * F.col("pages")))
+    )
+    most = (F.col("n") >= MOST_SHARE * F.col("pages")).alias("most")
+    return whole.select("host", "run", most).unionByName(across.select("host", "run", most))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks = [_candidates(parse(page.as_py() or "")) for page in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(blocks, pa.list_(pa.string())),
-                    batch.column(3),
-                    batch.column(4),
-                ],
-                names=["page_id", "url", "blocks", "host", "deal"],
-            )
 
-    schema = f"page_id {id_type}, url string, blocks array<string>, host string, deal long"
+def _texts(parsed: DataFrame, hosts: DataFrame, frames: DataFrame, id_type: str, groups: int) -> DataFrame:
+    """Texts of all pages without the frames of their hosts; pages of hosts without frames stay where
+    they are."""
+    own = ["page_id", "url"]
+    framed = frames.select("host").distinct()
+    plain = parsed.join(framed, "host", "left_anti").select(
+        *own, F.array_join("blocks", " ").alias("text")
+    )
+    deal = F.pmod(F.xxhash64("page_id", "url", "mark"), F.col("shards"))
     dealt = (
-        rows.withColumn("deal", F.xxhash64("page_id", "url", "html"))
-        .select("page_id", "url", "html", "host", "deal")
-        .mapInArrow(run, schema)
-        .join(shards, F.col("host") == F.col("_host"))
-        .select("host", F.pmod("deal", F.col("_shards")).alias("shard"), "page_id", "url", "blocks")
+        parsed.join(framed, "host", "left_semi")
+        .join(hosts, "host")
+        .select("host", deal.alias("shard"), *own, "marked", "blocks")
     )
-    told = frames.join(shards, F.col("host") == F.col("_host")).select(
-        "host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_shards") - 1)).alias("shard"), "run"
+    told = frames.join(hosts, "host").select(
+        "host",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"),
+        "run",
+        "most",
     )
 
     def judge(pages: pa.Table, told: pa.Table) -> pa.Table:
-        words, runs = Words(), told.column("run").to_numpy() if told.num_rows else np.zeros(0, np.int64)
         texts = []
-        for blocks in pages.column("blocks").to_pylist() if pages.num_rows else []:
-            kept = without_frame(blocks, words.of(blocks), runs) if len(runs) else blocks
-            texts.append(" ".join(kept))
+        if pages.num_rows:
+            runs = told.column("run").to_numpy() if told.num_rows else np.zeros(0, np.int64)
+            high = np.array(told.column("most").to_pylist(), bool)
+            words, most = Words(), runs[high]
+            for marked, blocks in zip(*[pages.column(c).to_pylist() for c in ("marked", "blocks")], strict=True):
+                texts.append(" ".join(without_frame(blocks, words, most if marked else runs, most)))
         return pa.table(
             {
                 "page_id": pages.column("page_id"),
@@ -404,7 +492,13 @@ def _texts(rows: DataFrame, shards: DataFrame, frames: DataFrame, id_type: str)
 
     out = f"page_id {id_type}, url string, text string"
     by = ("host", "shard")
-    return dealt.groupBy(*by).cogroup(told.groupBy(*by)).applyInArrow(judge, out)
+    judged = (
+        dealt.repartition(groups, *by)
+        .groupBy(*by)
+        .cogroup(told.repartition(groups, *by).groupBy(*by))
+        .applyInArrow(judge, out)
+    )
+    return plain.unionByName(judged)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -417,11 +511,18 @@ def main_text(pages: DataFrame) -> DataFrame:
         "page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
     rows = rows.withColumn("host", host_of(F.col("url")))
-    shards = (
-        rows.groupBy(F.col("host").alias("_host"))
-        .agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("_bytes"))
-        .select("_host", F.ceil((F.col("_bytes") + 1) / SHARD_BYTES).alias("_shards"))
-    )
     id_type = pages.schema["page_id"].dataType.simpleString()
-    texts = _texts(rows, shards, frames_of(rows, shards), id_type)
+    parsed = _parsed(rows, id_type)
+    hosts = _stored(
+        parsed.groupBy("host").agg(
+            F.ceil((F.sum("bytes") + 1) / SHARD_BYTES).alias("shards"),
+            F.bool_or(~F.col("marked")).alias("loose"),
+        ),
+        "hosts",
+    )
+    # tasks by the work of a shard, not by the bytes of its rows
+    total = parsed.agg(F.sum("bytes")).first()[0] or 0
+    groups = 2 * (1 + total // SHARD_BYTES)
+    frames = _stored(frames_of(parsed, hosts, groups), "frames")
+    texts = _texts(parsed, hosts, frames, id_type, groups)
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

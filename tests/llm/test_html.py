@@ -1,5 +1,9 @@
 """Main text: markup roles, frames of a host, and the edge cases."""
 
+import html
+import random
+from collections import Counter
+
 import pytest
 
 from ebbtide.llm import html as H
@@ -81,19 +85,80 @@ def test_many_shards_keep_all_pages(spark, monkeypatch):
     assert main_text(df).select("page_id").distinct().count() == 40
 
 
-def test_every_page_of_the_table(spark, small):
-    pages = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
-    rows = main_text(spark.read.parquet(f"{small}/pages.parquet")).collect()
+def article_of(page: str) -> str:
+    article = page.split("<article>")[1].split("</article>")[0]
+    article = article.replace("<b>", "").replace("</b>", "")
+    for tag in ("p", "/p", "h1", "/h1", "br"):
+        article = article.replace(f"<{tag}>", " ")
+    return " ".join(html.unescape(article).split())
+
+
+@pytest.mark.parametrize("table", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_every_article_of_the_table_is_whole(spark, table):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{table}/pages.parquet").collect()}
+    rows = main_text(spark.read.parquet(f"{table}/pages.parquet")).collect()
     assert len(rows) == len(pages)
-    for r in rows:
-        article = pages[r.page_id].split("<article>")[1].split("</article>")[0]
-        for tag in ("b", "/b"):
-            article = article.replace(f"<{tag}>", "")
-        for tag in ("p", "/p", "h1", "/h1", "br"):
-            article = article.replace(f"<{tag}>", " ")
-        import html
+    assert [r.page_id for r in rows if r.text != article_of(pages[r.page_id])] == []
+
+
+def plain_frames(pages: list) -> dict:
+    """The frames of hosts in plain Python: strings of blocks, pages counted by their first block list."""
+    hosts: dict = {}
+    for _, url, page, *_ in pages:
+        found = parse(page or "")
+        hosts.setdefault(url, []).append(found)
+    out = {}
+    for url, found in hosts.items():
+        loose = any(f.article is None for f in found)
+        distinct = {tuple(f.rest if f.article is None else f.article): f for f in found}
+        counts = Counter()
+        for blocks, f in distinct.items():
+            counts.update({s for b in [*blocks, *(f.outside if loose else [])] for s in strings(b.split(" "))})
+        n = len(distinct)
+        least = max(H.MIN_PAGES, (H.MIN_SHARE if loose else H.MOST_SHARE) * n)
+        out[url] = {s: c >= H.MOST_SHARE * n for s, c in counts.items() if c >= least}
+    return out
+
 
-        assert r.text == " ".join(html.unescape(article).split())
+def strings(words: list) -> list:
+    n = H.MIN_RUN
+    return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)] or [(*words, len(words))]
+
+
+def plain_text(page: str, frames: dict) -> str:
+    found = parse(page or "")
+    kept = []
+    for block in found.rest if found.article is None else found.article:
+        words = block.split(" ")
+        strict = found.article is not None or len(words) < H.MIN_RUN
+        cover = [False] * len(words)
+        for i, s in enumerate(strings(words)):
+            if frames.get(s, False) or (s in frames and not strict):
+                cover[i : i + H.MIN_RUN] = [True] * len(cover[i : i + H.MIN_RUN])
+        if sum(cover) / len(cover) < H.COVERED:
+            kept.append(block)
+    return " ".join(kept)
+
+
+@pytest.mark.parametrize("shard_bytes", [2 << 20, 3000, 500])
+def test_frames_equal_plain_python(spark, monkeypatch, shard_bytes):
+    monkeypatch.setattr(H, "SHARD_BYTES", shard_bytes)
+    rng = random.Random(11)
+    common = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 14))) for _ in range(12)]
+    pages = []
+    for i in range(160):
+        blocks = [" ".join(f"p{i}x{j}x{k}" for k in range(rng.randint(8, 20))) for j in range(2)]
+        blocks += rng.sample(common, rng.randint(0, 5)) + ([common[0], common[1]] if rng.random() < 0.6 else [])
+        rng.shuffle(blocks)
+        body = "".join(f"<p>{b}</p>" for b in blocks)
+        marked = i % 4 == 0 if i % 2 else i % 3 > 0
+        side = "".join(f"<p>{b}</p>" for b in rng.sample(common, 2))
+        page = f"<nav>{side}</nav><article>{body}</article>" if marked or i % 5 == 0 else f"<div>{body}</div><footer>{side}</footer>"
+        pages.append((i, f"http://h{i % 5}.org/", page, "extra"))
+    frames = plain_frames(pages)
+    assert all(frames.values())
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert got == {i: plain_text(page, frames[url]) for i, url, page, _ in pages}
 
 
 NOTICE = "This text may be shared under the usual terms of the site"
@@ -115,8 +180,14 @@ def test_notice_inside_marked_articles_goes(spark):
         assert r.text == " ".join(f"w{r.page_id}x{k}" for k in range(40))
 
 
+def test_notice_in_some_marked_articles_stays(spark):
+    rows = main_text(spark.createDataFrame(articles(120, 40), SCHEMA)).collect()
+    assert sum(NOTICE in r.text for r in rows) == 40
+
+
 def test_frames_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
-    pages = articles(120, 12)  # in shards of a few pages the notice is seldom on three of them
+    # in shards of a few pages the notice is seldom on three of them
+    pages = [(i, url, h.replace("article", "div"), e) for i, url, h, e in articles(120, 12)]
     copies = [(1000 + i, "http://one.org/", pages[100][2].replace("w100x39", f"w100y{i}"), "e") for i in range(20)]
     df = spark.createDataFrame(pages + copies, SCHEMA)
     whole = {r.page_id: r.text for r in main_text(df).collect()}
