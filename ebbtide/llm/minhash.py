@@ -7,8 +7,8 @@ with a probability of 5e-8. Then:
 
 1. Equal sets are one class from the start, whatever their number.
 2. Within a bucket every set is paired with the bucket's smallest id. The collision-corrected estimate
-   from the registers drops pairs that cannot reach the threshold; the others are verified on the full
-   sets, and what is confirmed is joined to components.
+   from the registers drops pairs that cannot reach the threshold; of the others each set verifies the
+   one with the highest estimate on the full sets, and what is confirmed is joined to components.
 3. Only pairs of one bucket that are still in different components can add anything. They are estimated
    in blocks of a bucket, so that a large one is many tasks. A few merging rounds verify for every set
    only its best partner outside its component; as a rule that joins what belongs together.
@@ -211,6 +211,36 @@ def sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
     return _texts(docs, config, emit, schema)
 
 
+def _linked(
+    left: list[str], right: list[str], shingle: int, percent: int
+) -> Iterator[bool]:
+    """Whether the sets of pairs of texts reach the threshold. Some pairs at a time; each text of them is
+    hashed once, together with the others."""
+    start = 0
+    while start < len(left):
+        texts: dict[str, int] = {}
+        held, end = 0, start
+        while end < len(left) and (held < SLICE_BYTES or end == start):
+            for text in (left[end], right[end]):
+                if text not in texts:
+                    texts[text] = len(texts)
+                    held += len(text)
+            end += 1
+        raw = [text.encode() for text in texts]
+        borders = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        flat, at = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), borders, shingle)
+        for a, b in zip(left[start:end], right[start:end], strict=True):
+            x, y = (flat[at[texts[t]] : at[texts[t] + 1]] for t in (a, b))
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                yield False
+                continue
+            if len(x) > len(y):
+                x, y = y, x
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
+            yield 100 * common >= percent * (len(x) + len(y) - common)
+        start = end
+
+
 def verified(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
     """The ``pairs(a, b)`` whose full shingle sets reach the threshold.
 
@@ -218,31 +248,21 @@ def verified(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame
     the pairs, and from there on only texts of candidates move."""
     percent, shingle = config.percent, config.shingle
 
-    @F.pandas_udf("boolean")
-    def linked(left, right):
-        import pandas as pd
-
-        def hashes(text: str) -> np.ndarray:
-            raw = np.frombuffer(text.encode(), np.uint8)
-            return shingle_sets(raw, np.array([0, len(raw)]), shingle)[0]
-
-        out, text, x = [], None, np.zeros(0, np.uint64)
-        for hub, other in zip(left, right, strict=True):
-            if hub is not text:  # pairs of one hub follow one another
-                if hub != text:
-                    x = hashes(hub)
-                text = hub
-            y = hashes(other)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pd.Series(out, dtype=bool)
+    def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            yield pa.array(_linked(left.to_pylist(), right.to_pylist(), shingle, percent), pa.bool_())
 
+    linked.__annotations__ = {
+        "batches": Iterator[tuple[pa.Array, pa.Array]],
+        "return": Iterator[pa.Array],
+    }
+    reached = F.arrow_udf(linked, "boolean")
     right = pairs.join(docs, pairs.b == docs.doc_id).select("a", "b", F.col("text").alias("_right"))
     left = (
         pairs.select("a").distinct().join(docs, F.col("a") == docs.doc_id)
         .select("a", F.col("text").alias("_left"))
     )
-    return right.join(left, "a").filter(linked("_left", "_right")).select("a", "b")
+    return right.join(left, "a").filter(reached("_left", "_right")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataFrame:
@@ -272,23 +292,29 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     hub_pairs = shared.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     percent = config.percent
 
-    @F.pandas_udf("boolean")
-    def may_reach(left, right, n_left, n_right):
+    @F.pandas_udf("double")
+    def reach(left, right, n_left, n_right):
         import pandas as pd
 
         a = np.frombuffer(b"".join(left), np.uint16).reshape(-1, REGISTERS)
         b = np.frombuffer(b"".join(right), np.uint16).reshape(-1, REGISTERS)
-        return pd.Series(promising(*estimates(a, b, n_left.to_numpy(), n_right.to_numpy()), percent))
+        close, used = estimates(a, b, n_left.to_numpy(), n_right.to_numpy())
+        return pd.Series(np.where(promising(close, used, percent), close, -1.0))
 
     sketch = classes.select("rep", "sketch", "n_shingles")
     side = lambda c: sketch.select(*[F.col(x).alias(f"{c}{x}") for x in sketch.columns])
     candidates = (
         hub_pairs.join(side("b"), F.col("b") == F.col("brep"))
         .join(side("a"), F.col("a") == F.col("arep"))
-        .filter(may_reach("asketch", "bsketch", "an_shingles", "bn_shingles"))
-        .select("a", "b")
+        .filter(
+            100 * F.least("an_shingles", "bn_shingles") >= percent * F.greatest("an_shingles", "bn_shingles")
+        )
+        .select("a", "b", reach("asketch", "bsketch", "an_shingles", "bn_shingles").alias("score"))
+        .filter("score >= 0")
     )
-    tested = durable(candidates)
+    # the best hub of each set; what this leaves apart comes up again below
+    best = candidates.groupBy("b").agg(F.max_by("a", F.struct("score", "a")).alias("a"))
+    tested = durable(best.select("a", "b"))
     links = durable(verified(tested, docs, config))
     texts = None
     for merging in [True] * config.merge_rounds + [False]:
