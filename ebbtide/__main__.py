@@ -13,8 +13,8 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ebbtide.operators.profile import displayed
 from ebbtide.operators.train import TrainConfig
 from ebbtide.plans.diagnosis import run_diagnosis
 from ebbtide.plans.ingest import run_clean, run_features
@@ -25,8 +25,7 @@ from ebbtide.spec import CHURN
 
 def show(df: DataFrame, rows: int = 20) -> None:
     """Print with doubles to 4 decimals."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    df.withColumns({c: F.round(c, 4) for c in doubles}).show(rows, truncate=False)
+    displayed(df).show(rows, truncate=False)
 
 
 def clean(spark: SparkSession, a: argparse.Namespace) -> None:

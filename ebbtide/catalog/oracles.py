@@ -862,3 +862,21 @@ ORACLES["epoch_table"] = with_(
              FROM marked WHERE dataset = 'external')""",
 )
 ORACLES["verified_replacement"] = ORACLES["features"]
+ORACLES["ingest_report"] = with_(
+    CLEANED,
+    """SELECT r.dataset, r.n AS raw_rows, coalesce(c.n, 0) AS cleaned_rows,
+              r.n - coalesce(c.n, 0) AS removed_rows, coalesce(c.n, 0) AS verified_rows,
+              coalesce(c.n, 0) AS feature_rows, coalesce(c.n, 0) AS verified_features,
+              CAST(0 AS BIGINT) AS null_rows
+       FROM (SELECT dataset, count(*) AS n FROM raw GROUP BY dataset) r
+       LEFT JOIN (SELECT dataset, count(*) AS n FROM cleaned GROUP BY dataset) c
+         ON r.dataset = c.dataset""",
+)
+ORACLES["shift_display"] = with_(
+    CUSTOMER_REPORT,
+    """SELECT feature, round(train_correlation_with_churn, 4) AS train_correlation_with_churn,
+              round(test_correlation_with_churn, 4) AS test_correlation_with_churn,
+              round(correlation_change, 4) AS correlation_change
+       FROM report ORDER BY round(absolute_correlation_change, 12) DESC NULLS LAST, feature
+       LIMIT 10""",
+)

@@ -59,6 +59,7 @@ from ebbtide.operators.moments import (
 )
 from ebbtide.operators.monitor import monitor_batches, read_monitor
 from ebbtide.operators.profile import (
+    displayed,
     frequency,
     null_audit,
     positive_rate,
@@ -70,6 +71,7 @@ from ebbtide.operators.scale import fit_scaler, scaler_table
 from ebbtide.operators.score import score
 from ebbtide.operators.split import TRAIN, split_exact, split_hash, split_sizes
 from ebbtide.operators.train import TrainConfig, shard_rows
+from ebbtide.plans.ingest import run_clean, run_features
 from ebbtide.plans.training import parameters_of, train_and_evaluate
 from ebbtide.sources.documents import (
     document_metrics,
@@ -773,3 +775,38 @@ def verified_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     else:
         raise AssertionError("a replacement that is not complete went through")
     return read_current(spark, path)
+
+
+@query
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stages of ingestion from CSV to features for each dataset, with the rows they counted on the
+    way and in the files."""
+    raw, root, reports = customer_raw(spark, sf_dir), scratch_path(spark, "ingest"), []
+    for name in ("train", "external"):
+        part = raw.filter(F.col(DATASET) == name).drop(DATASET)
+        part.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(f"{root}/raw-{name}")
+        cleaned = run_clean(spark, f"{root}/raw-{name}", f"{root}/clean-{name}", CHURN)
+        made = run_features(spark, f"{root}/clean-{name}", f"{root}/features-{name}", CHURN, files=8)
+        reports.append(
+            (
+                name,
+                cleaned.raw_rows,
+                cleaned.cleaned_rows,
+                cleaned.removed_rows,
+                cleaned.verified_rows,
+                made.feature_rows,
+                made.verified_rows,
+                sum(made.null_rows.values()),
+            )
+        )
+    columns = "raw_rows cleaned_rows removed_rows verified_rows feature_rows verified_features null_rows"
+    schema = f"{DATASET} string, {', '.join(f'{c} bigint' for c in columns.split())}"
+    return spark.createDataFrame(reports, schema)
+
+
+@query
+def shift_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest changes as the command line prints them."""
+    return displayed(largest_changes(customer_shift(spark, sf_dir), CHURN.label))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions.columns import missing
 
@@ -50,3 +51,9 @@ def positive_rate(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFra
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"), F.avg(F.col(column).cast("double")).alias("rate")
     )
+
+
+def displayed(df: DataFrame, digits: int = 4) -> DataFrame:
+    """For reading only: all doubles rounded."""
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: F.round(c, digits) for c in doubles})

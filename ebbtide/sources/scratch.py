@@ -10,12 +10,15 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where the session names none, one in the warehouse,
-    which every session has and all executors reach."""
+    """The folder of ``spark.checkpoint.dir``; where the session names none, one in the warehouse. On a
+    cluster a warehouse on the driver's own disk does not do, as executors do not reach it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        one_machine = context.master == "local" or context.master.startswith("local[")
+        if not named and not one_machine and warehouse.startswith("file:"):
+            raise ValueError(f"set spark.checkpoint.dir: executors do not reach {warehouse}")
         context.setCheckpointDir(named or f"{warehouse}/_checkpoints")
     return context.getCheckpointDir().rstrip("/")
 
