@@ -12,8 +12,9 @@ anchor gram. Windows that follow one another and share an anchor form a context,
 1. Contexts are shuffled once by anchor gram. Of equal contexts (all windows equal) the first stays
    and the others are later copies as a whole.
 2. The first ones of grams that occur in several different contexts bring their bytes: these are the
-   ends of matches. They are gathered by gram, and a suffix array with its previous smaller positions
-   over the gathered bytes tells, window by window, which are later copies.
+   ends of matches. They are gathered by gram, and a suffix array over the gathered bytes, with common
+   prefixes and previous and next smaller positions, gives the longest previous factor of each window
+   (followed only as far as ``length``) and so which are later copies.
 3. The hits go back to their documents.
 
 Grams that hold more than a ten-thousandth of all anchors are found beforehand on a sample of documents
@@ -257,34 +258,106 @@ def doubled_ranks(rank: np.ndarray, width: int, starts: np.ndarray, length: int)
     return np.unique(rank[starts] * (len(rank) + 1) + rank[tail], return_inverse=True)[1]
 
 
-def suffix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """``doubled_ranks`` of bytes, from words of eight."""
+def rank_levels(data: np.ndarray, length: int) -> list[np.ndarray]:
+    """Ranks of the strings of 8, 16, 32, ... bytes at every position, up to the last width that is not
+    above ``length``; behind the end come zeros."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    rank = np.zeros(len(data), np.uint64)
+    word = np.zeros(len(data), np.uint64)
     for j in range(8):
-        rank = (rank << np.uint64(8)) | padded[j : j + len(data)]
-    return doubled_ranks(np.unique(rank, return_inverse=True)[1], 8, starts, length)
+        word = (word << np.uint64(8)) | padded[j : j + len(data)]
+    levels, width = [np.unique(word, return_inverse=True)[1]], 8
+    while width * 2 <= length:
+        rank = levels[-1]
+        after = np.zeros(len(rank), np.int64)
+        after[: max(0, len(rank) - width)] = rank[width:]
+        levels.append(np.unique(rank * (len(rank) + 1) + after, return_inverse=True)[1])
+        width *= 2
+    return levels
+
+
+def suffix_classes(
+    data: np.ndarray, starts: np.ndarray, length: int, levels: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """Rank in suffix order of the strings of ``length`` bytes at ``starts``, equal ones alike: the widest
+    level at the start, then at the end, which overlap."""
+    levels = levels or rank_levels(data, length)
+    top, width = levels[-1], 8 << (len(levels) - 1)
+    tail = np.minimum(starts + length - width, len(top) - 1)
+    return np.unique(top[starts] * (len(top) + 1) + top[tail], return_inverse=True)[1]
+
+
+def common_prefixes(
+    data: np.ndarray, levels: list[np.ndarray], a: np.ndarray, b: np.ndarray, length: int
+) -> np.ndarray:
+    """Bytes, at most ``length``, in which the strings at positions ``a`` and ``b`` agree. Widths are
+    tried from the largest down; strings of ``length`` bytes end inside the data."""
+    agreed = np.zeros(len(a), np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        width = 8 << k
+        for _ in range(length // width if k == len(levels) - 1 else 1):
+            room = agreed + width <= length
+            x, y = np.where(room, a + agreed, 0), np.where(room, b + agreed, 0)
+            agreed += width * (room & (levels[k][x] == levels[k][y]))
+    last = len(data) - 1
+    open_ = np.ones(len(a), bool)
+    for _ in range(7):  # what is left is less than eight bytes
+        same = data[np.minimum(a + agreed, last)] == data[np.minimum(b + agreed, last)]
+        open_ &= same & (agreed < length)
+        agreed += open_
+    return agreed
+
+
+def previous_smaller(values: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """For each entry the least of ``between`` from its previous smaller value to itself, 0 where there is
+    none; ``between[k]`` belongs to the entries k - 1 and k. Pointers skip what is known not to be smaller."""
+    pointer = np.arange(len(values)) - 1
+    least = between.copy()
+    open_ = np.flatnonzero(pointer >= 0)
+    while len(open_):
+        at = pointer[open_]
+        open_ = open_[values[at] >= values[open_]]
+        at = pointer[open_]
+        least[open_], pointer[open_] = np.minimum(least[open_], least[at]), pointer[at]
+        open_ = open_[pointer[open_] >= 0]
+    least[pointer < 0] = 0
+    return least
+
+
+def longest_previous_factors(
+    data: np.ndarray, starts: np.ndarray, earlier: np.ndarray, length: int
+) -> np.ndarray:
+    """For the strings at ``starts`` the longest common prefix, up to ``length`` bytes, with any string
+    at ``starts`` of smaller ``earlier``.
+
+    In suffix order the string that agrees longest is the nearest one before or behind with a smaller
+    value; the agreement with it is the least common prefix of neighbours on the way."""
+    levels = rank_levels(data, length)
+    order = np.lexsort((earlier, suffix_classes(data, starts, length, levels)))
+    placed, values = starts[order], earlier[order]
+    common = np.zeros(len(order) + 1, np.int64)
+    common[1:-1] = common_prefixes(data, levels, placed[:-1], placed[1:], length)
+    before = previous_smaller(values, common[:-1])
+    behind = previous_smaller(values[::-1], common[1:][::-1])[::-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(before, behind)
+    return out
 
 
 def later_copies(
     data: np.ndarray, starts: np.ndarray, doc: np.ndarray, position: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """For the windows of ``length`` bytes at ``starts``: whether the longest previous factor reaches
-    ``length``, and whether the window is the first of its class.
-
-    In suffix order, ties by position, the suffixes that agree on ``length`` bytes are neighbours with
-    ascending positions. So inside such a class the previous smaller position is the entry before, the
-    next smaller position lies beyond the class, and matches with anything beyond are shorter."""
-    rank = suffix_classes(data, starts, length)
-    order = np.lexsort((position, doc, rank))
-    rank, doc, position = rank[order], doc[order], position[order]
-    new = np.ones(len(rank), bool)
-    new[1:] = rank[1:] != rank[:-1]
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (doc != doc[first]) | (position > position[first])
-    found, leads = np.zeros(len(rank), bool), np.zeros(len(rank), bool)
-    found[order], leads[order] = later, ~later
-    return found, leads
+    ``length``, and whether the window is the first of its class. Windows at one place, of texts that
+    share an id, are not earlier than one another."""
+    if not len(starts):
+        return np.zeros(0, bool), np.zeros(0, bool)
+    order = np.lexsort((position, doc))
+    new = np.ones(len(order), np.int64)
+    new[1:] = (np.diff(doc[order]) != 0) | (np.diff(position[order]) != 0)
+    earlier = np.empty(len(order), np.int64)
+    earlier[order] = np.cumsum(new)
+    later = longest_previous_factors(data, starts, earlier, length) >= length
+    return later, ~later
 
 
 def _with_bytes(docs: DataFrame, ends: DataFrame, length: int) -> DataFrame:

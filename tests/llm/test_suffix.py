@@ -94,3 +94,40 @@ def test_contexts_cover_every_window_once():
 def test_length_is_checked(spark):
     with pytest.raises(ValueError):
         S.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), length=20)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_longest_previous_factors_equal_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    length = [64, 100, 77, 127][seed]
+    motif = rng.integers(0, 3, 150).astype(np.uint8)
+    data = np.concatenate([
+        rng.integers(0, 2, 300).astype(np.uint8), motif, motif[20:], motif[:90], rng.integers(0, 2, 200).astype(np.uint8),
+        np.zeros(260, np.uint8), motif,
+    ])
+    starts = rng.permutation(len(data) - length + 1)[:900]
+    earlier = rng.integers(0, 700, len(starts))  # with ties
+    got = S.longest_previous_factors(data, starts, earlier, length)
+    raw = data.tobytes()
+
+    def agree(a, b):
+        n = 0
+        while n < length and raw[a + n] == raw[b + n]:
+            n += 1
+        return n
+
+    for k in range(0, len(starts), 7):
+        before = [starts[j] for j in np.flatnonzero(earlier < earlier[k])]
+        assert got[k] == max((agree(starts[k], b) for b in before), default=0)
+
+
+def test_previous_smaller_of_long_runs():
+    rng = np.random.default_rng(1)
+    for values in (np.arange(5000), np.arange(5000)[::-1], np.zeros(5000, np.int64), rng.integers(0, 50, 5000)):
+        between = rng.integers(0, 100, len(values))
+        got = S.previous_smaller(values, between)
+        for k in range(0, len(values), 97):
+            j = k - 1
+            while j >= 0 and values[j] >= values[k]:
+                j -= 1
+            assert got[k] == (between[j + 1 : k + 1].min() if j >= 0 else 0)
