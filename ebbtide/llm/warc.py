@@ -143,7 +143,9 @@ _START = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = re.compile(rb"\x1f\x8b\x08")
 _ANY = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 _HEAD_END = re.compile(rb"\r\n\r\n")
-MOST_HEADER = 1 << 20
+#: Where a header ends as a rule; a longer one, of a very long url, ends before the next version line.
+USUAL_HEADER = 1 << 16
+STEP = 1 << 16
 
 
 def _plain_record(data, start: int) -> tuple[dict | None, int, str]:
@@ -151,7 +153,10 @@ def _plain_record(data, start: int) -> tuple[dict | None, int, str]:
     match = _START.match(data, start)
     if not match:
         return None, start, "no version line"
-    end = _HEAD_END.search(data, match.end() - 2, start + MOST_HEADER)
+    end = _HEAD_END.search(data, match.end() - 2, start + USUAL_HEADER)
+    if not end:
+        following = _START.search(data, match.end())
+        end = _HEAD_END.search(data, match.end() - 2, following.start() if following else len(data))
     if not end:
         return None, start, "header has no end"
     fields: dict[str, str] = {}
@@ -185,17 +190,20 @@ def _plain_record(data, start: int) -> tuple[dict | None, int, str]:
 def _record(data, start: int) -> tuple[dict | None, int, str]:
     if not _MEMBER.match(data, start):
         return _plain_record(data, start)
-    pack = zlib.decompressobj(31)
+    pack, parts, at = zlib.decompressobj(31), [], start
     try:
-        plain = pack.decompress(data[start:]) + pack.flush()
+        while not pack.eof and at < len(data):  # what lies behind the member is never copied
+            parts.append(pack.decompress(data[at : at + STEP]))
+            at = min(at + STEP, len(data))
     except zlib.error:
         return None, start, "broken member"
     if not pack.eof:
         return None, start, "truncated member"
+    plain = b"".join(parts)
     found, end, why = _plain_record(plain, 0)
     if found is None or end != len(plain):
         return None, start, why or "more than one record in a member"
-    return found, len(data) - len(pack.unused_data), ""
+    return found, at - len(pack.unused_data), ""
 
 
 def salvage(data) -> Iterator[tuple]:

@@ -103,3 +103,45 @@ def test_gaps_are_logged(pages, spark, tmp_path):
         ("record", 0, len(good)), ("gap", len(good), len(bad)), ("record", len(good) + len(bad), len(good))]
     assert rows[1].reason == "truncated or wrong length"
     assert rows[0].payload_bytes == 2
+
+
+@pytest.mark.parametrize("gzip", [False, True])
+def test_very_long_urls_survive(spark, tmp_path, gzip):
+    rows = [(1, "http://a/" + "u" * 2_000_000, "<p>x"), (2, "http://a/b", "<p>y"), (3, None, "<p>z")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r for r in round_trip(df, str(tmp_path / "w"), gzip).collect()}
+    assert {i: got[i].url for i in got} == {i: u for i, u, _ in rows}
+
+
+def test_damage_behind_a_long_header_is_found(spark, tmp_path):
+    rows = [(i, "http://a/" + "u" * 200_000, f"page {i} " * 50) for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    write_warc(records(df), str(tmp_path / "w"))
+    data = bytearray(b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*"))))
+    second = data.index(b"WARC/1", 100_000)
+    data[second + 30 : second + 190_000] = b"v" * 189_970  # the header of the second loses its lines
+    found = list(salvage(bytes(data)))
+    assert [k for k, *_ in found].count("record") == 5 and [k for k, *_ in found].count("gap") == 1
+    assert sum(length for _, _, length, _ in found) == len(data)
+
+
+def test_time_grows_with_the_file(spark):
+    import time
+    import zlib
+
+    def members(n):
+        out = []
+        for i in range(n):
+            body = (f"{i} " * 1500).encode()
+            head = f"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+            pack = zlib.compressobj(0, zlib.DEFLATED, 31)
+            out.append(pack.compress(head + body + b"\r\n\r\n") + pack.flush())
+        return b"".join(out)
+
+    seconds = []
+    for n in (1000, 8000):
+        data = members(n)
+        start = time.perf_counter()
+        assert sum(kind == "record" for kind, *_ in salvage(data)) == n
+        seconds.append((time.perf_counter() - start) / len(data))
+    assert seconds[1] < 3 * seconds[0]
