@@ -10,8 +10,10 @@ expected to add.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import durable, mixed
 
 UNDETERMINED = "und"
+_BLANK = re.compile(r"\s")
 GRAM = 3
 HASHES = 3
-SLICE_CHARS = 1 << 20
+#: Characters worked on at once. A longer text is cut after white space, where no trigram is.
+SLICE_CHARS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -47,7 +51,9 @@ class LanguageModel:
     false_positive: np.ndarray
 
 
+@cache
 def _letters() -> np.ndarray:
+    """Once a worker."""
     return np.array([chr(c).isalpha() for c in range(0x110000)], bool)
 
 
@@ -93,16 +99,31 @@ def _places(grams: np.ndarray, positions: int) -> list[np.ndarray]:
     ]
 
 
-def _sliced(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    start, held, part = 0, 0, []
-    for i, text in enumerate(texts):
-        if part and held + len(text or "") > SLICE_CHARS:
-            yield start, part
-            start, held, part = i, 0, []
-        part.append(text or "")
-        held += len(text or "")
+def _pieces(text: str) -> Iterator[str]:
+    start = 0
+    while len(text) - start > SLICE_CHARS:
+        blank = _BLANK.search(text, start + SLICE_CHARS)
+        if blank is None:
+            break
+        yield text[start : blank.end()]
+        start = blank.end()
+    yield text[start:] if start else text
+
+
+def _sliced(column: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Texts of an Arrow column, some at a time: the row of each, and the texts. Of a long one come
+    several pieces; NULL is empty."""
+    held, rows, part = 0, [], []
+    for i, value in enumerate(column):
+        for piece in _pieces(value.as_py() or ""):
+            if part and held + len(piece) > SLICE_CHARS:
+                yield np.array(rows), part
+                held, rows, part = 0, [], []
+            rows.append(i)
+            part.append(piece)
+            held += len(piece)
     if part:
-        yield start, part
+        yield np.array(rows), part
 
 
 def held_out(doc_id: Column) -> Column:
@@ -143,17 +164,20 @@ def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Langu
         letters = _letters()
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            for start, part in _sliced(batch.column(1).to_pylist()):
-                grams, row, _ = _trigrams(part, letters)
-                here = langs[start : start + len(part)]
-                for lang in sorted(set(here)):
-                    own = np.isin(row, np.flatnonzero(here == lang))
-                    # documents that hold a trigram: distinct (row, trigram) pairs first
-                    order = np.lexsort((row[own], grams[own]))
-                    g, r = grams[own][order], row[own][order]
-                    new = np.ones(len(g), bool)
-                    new[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
-                    values, counts = np.unique(g[new], return_counts=True)
+            for start in range(0, batch.num_rows, 64):
+                here = langs[start : start + 64]
+                pairs: dict[str, list[np.ndarray]] = {}
+                for owner, part in _sliced(batch.column(1).slice(start, 64)):
+                    grams, row, _ = _trigrams(part, letters)
+                    row = owner[row]
+                    for lang in set(here[owner]):
+                        own = here[row] == lang
+                        # documents that hold a trigram: distinct (row, trigram) pairs
+                        found = np.unique(np.stack([row[own].astype(np.uint64), grams[own]], 1), axis=0)
+                        pairs.setdefault(lang, []).append(found)
+                for lang, found in sorted(pairs.items()):
+                    distinct = np.unique(np.concatenate(found), axis=0)
+                    values, counts = np.unique(distinct[:, 1], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang] * len(values), pa.string()),
@@ -205,36 +229,41 @@ def predict(
     the first language too."""
     languages, table, chance = model.languages, model.table, model.false_positive
 
-    @F.pandas_udf("lang_pred string, score double, coverage double")
-    def judge(text):
-        import pandas as pd
-
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters = _letters()
-        winners, scores, covered = [], [], []
-        for _, part in _sliced(text.tolist()):
-            grams, row, some = _trigrams(part, letters)
-            places = _places(grams, len(table))
-            hits = np.zeros((len(part), len(languages)))
-            total = np.bincount(row, minlength=len(part))
-            for word in range(table.shape[1]):
-                found = table[places[0], word] & table[places[1], word] & table[places[2], word]
-                for i in range(64 * word, min(len(languages), 64 * (word + 1))):
-                    bit = np.uint64(i % 64)
-                    hits[:, i] = np.bincount(
-                        row, weights=(found >> bit) & np.uint64(1), minlength=len(part)
-                    )
+        for texts in batches:
+            n = len(texts)
+            some = np.zeros(n, bool)
+            hits, total = np.zeros((n, len(languages))), np.zeros(n)
+            for owner, part in _sliced(texts):
+                grams, row, lettered = _trigrams(part, letters)
+                some[owner[lettered]] = True
+                row = owner[row]
+                total += np.bincount(row, minlength=n)
+                places = _places(grams, len(table))
+                for word in range(table.shape[1]):
+                    found = table[places[0], word] & table[places[1], word] & table[places[2], word]
+                    for i in range(64 * word, min(len(languages), 64 * (word + 1))):
+                        known = row[(found >> np.uint64(i % 64)) & np.uint64(1) > 0]
+                        hits[:, i] += np.bincount(known, minlength=n)
             # found = true + (total - true) * chance
             true = np.maximum(0.0, hits - total[:, None] * chance) / (1 - chance)
             if not languages:
                 some[:] = False
-            for known, counts, n in zip(some, true, total, strict=True):
+            winners, scores, covered = [], [], []
+            for known, counts, size in zip(some, true, total, strict=True):
                 whole = counts.sum() if known else 0.0
                 winners.append(languages[int(np.argmax(counts))] if known else UNDETERMINED)
                 scores.append(float(counts.max() / whole) if whole > 0 else 0.0)
-                covered.append(float(counts.max() / n) if whole > 0 else 0.0)
-        return pd.DataFrame({"lang_pred": winners, "score": scores, "coverage": covered})
-
-    judged = docs.withColumn("_judged", judge(F.col(text_column).cast("string")))
+                covered.append(float(counts.max() / size) if whole > 0 else 0.0)
+            yield pa.StructArray.from_arrays(
+                [pa.array(winners, pa.string()), pa.array(scores, pa.float64()), pa.array(covered, pa.float64())],
+                names=["lang_pred", "score", "coverage"],
+            )
+
+    judge.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    found_in = F.arrow_udf(judge, "lang_pred string, score double, coverage double")
+    judged = docs.withColumn("_judged", found_in(F.col(text_column).cast("string")))
     found = [F.col(f"_judged.{c}").alias(n) for c, n in zip(("lang_pred", "score", "coverage"), names)]
     return judged.select(*docs.columns, *found)
 

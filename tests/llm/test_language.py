@@ -1,15 +1,18 @@
 """Language identification: held-out accuracy, trigrams against brute force, edge cases."""
 
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ebbtide.llm.language import (
     LanguageConfig,
     LanguageModel,
     _letters,
+    _sliced,
     _trigrams,
     fit,
     held_out,
@@ -46,6 +49,25 @@ def test_trigrams_equal_brute_force():
         assert some[i] == any(c.isalpha() for c in text.lower())
 
 
+def test_long_texts_are_cut_without_loss():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcÉß ,.\n'") for _ in range(400_000))
+    column = pa.array(["x y", None, text, "", "a" * 200_000 + " b"])
+    counts, parts = [Counter() for _ in column], 0
+    for owner, part in _sliced(column):
+        grams, row, _ = _trigrams(part, LETTERS)
+        assert sum(map(len, part)) < (1 << 17) + 200_100
+        parts += 1
+        for i in set(owner):
+            values, n = np.unique(grams[owner[row] == i], return_counts=True)
+            counts[i].update(dict(zip(values.tolist(), n.tolist())))
+    whole, row, _ = _trigrams([t.as_py() or "" for t in column], LETTERS)
+    assert parts > 3
+    for i in range(len(column)):
+        values, n = np.unique(whole[row == i], return_counts=True)
+        assert counts[i] == Counter(dict(zip(values.tolist(), n.tolist())))
+
+
 def test_held_out_rule(spark):
     rows = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
