@@ -336,13 +336,14 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     shared_dir(spark)
     path = scratch_path(spark, name)
-    df.write.option("parquet.block.size", 16 << 20).parquet(path)
+    df.write.option("parquet.block.size", 16 << 20).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _evidence(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
-    """``host, shard, shards, likeness, mark, blocks``: what the pages of a host are counted by. Of pages
-    that are alike only those with the smallest mark so far leave a task."""
+    """``host, shard, shards, loose, likeness, mark, size, packed``: what the pages of a host are counted
+    by, their blocks compressed. Of pages that are alike only those with the smallest mark so far leave a
+    task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple[str, int], int] = {}
@@ -355,7 +356,17 @@ def _evidence(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
                     kept.append(i)
             if len(least) > MOST_WORDS:
                 least.clear()
-            yield batch.take(pa.array(kept, pa.int64()))
+            chosen = batch.take(pa.array(kept, pa.int64()))
+            raw = ["\n".join(b).encode("utf-8", "surrogatepass") for b in chosen.column("blocks").to_pylist()]
+            packed = [pa.compress(r, codec="zstd", asbytes=True) if r else b"" for r in raw]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[chosen.column(n) for n in ("host", "shard", "shards", "loose", "likeness", "mark")],
+                    pa.array([len(r) for r in raw], pa.int64()),
+                    pa.array(packed, pa.binary()),
+                ],
+                names=["host", "shard", "shards", "loose", "likeness", "mark", "size", "packed"],
+            )
 
     blocks = F.when(F.col("loose"), F.concat("blocks", "outside")).otherwise(F.col("blocks"))
     dealt = parsed.join(hosts, "host").select(
@@ -367,16 +378,24 @@ def _evidence(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
         "mark",
         blocks.alias("blocks"),
     )
-    return dealt.mapInArrow(run, dealt.schema)
+    return dealt.mapInArrow(
+        run,
+        "host string, shard long, shards long, loose boolean, likeness long, mark long, size long, "
+        "packed binary",
+    )
 
 
 def _distinct_pages(shard: pa.Table) -> list[list[np.ndarray]]:
     held: dict[int, dict] = {}
-    for row in shard.select(["likeness", "mark", "blocks"]).to_pylist():
+    for row in shard.select(["likeness", "mark", "size", "packed"]).to_pylist():
         if row["likeness"] not in held or row["mark"] < held[row["likeness"]]["mark"]:
             held[row["likeness"]] = row
-    words = Words()
-    return [[words.of(b) for b in row["blocks"]] for row in held.values()]
+    words, pages = Words(), []
+    for row in held.values():
+        raw = pa.decompress(row["packed"], row["size"], codec="zstd", asbytes=True) if row["size"] else b""
+        blocks = raw.decode("utf-8", "surrogatepass").split("\n") if raw else []
+        pages.append([words.of(b) for b in blocks])
+    return pages
 
 
 def frames_of(parsed: DataFrame, hosts: DataFrame, groups: int) -> DataFrame:
@@ -432,9 +451,10 @@ def frames_of(parsed: DataFrame, hosts: DataFrame, groups: int) -> DataFrame:
     spread = wanted.join(hosts.filter("shards > 1"), "host").select(
         "host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "run"
     )
-    large = dealt.filter("shards > 1")
+    asked = parsed.join(wanted.select("host").distinct(), "host", "left_semi")
     again = (
-        large.repartition(groups, *key)
+        _evidence(asked, hosts.filter("shards > 1"))
+        .repartition(groups, *key)
         .groupBy(*key)
         .cogroup(spread.repartition(groups, *key).groupBy(*key))
         .applyInArrow(recount, counted)
