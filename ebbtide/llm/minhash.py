@@ -11,7 +11,8 @@ with a probability of 5e-8. Then:
    one with the highest estimate on the full sets, and what is confirmed is joined to components.
 3. Only pairs of one bucket that are still in different components can add anything. They are estimated
    in blocks of a bucket, so that a large one is many tasks. A few merging rounds verify for every set
-   only its best partner outside its component; as a rule that joins what belongs together.
+   only its best partner outside its component, in a few of its buckets; as a rule that joins what
+   belongs together.
 4. At last every pair of one bucket that is still apart, promising and not yet tested is verified.
 
 So no link is lost, large groups of copies never become all their pairs, and a bucket has no cap.
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.blocks import blocked, met_within, visited, with_itself
@@ -54,6 +55,7 @@ class NearConfig:
     percent: int = 80
     block: int = 2048
     merge_rounds: int = 2
+    merge_buckets: int = 4
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -317,9 +319,9 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     tested = durable(best.select("a", "b"))
     links = durable(verified(tested, docs, config))
     texts = None
-    for merging in [True] * config.merge_rounds + [False]:
+    for turn, merging in enumerate([True] * config.merge_rounds + [False]):
         parts = components(links)
-        blocks = durable(_open_blocks(shared, parts, sketch, config))
+        blocks = durable(_open_blocks(shared, parts, sketch, config, turn if merging else None))
         if blocks.isEmpty():
             break
         if texts is None:
@@ -354,10 +356,11 @@ def _long_bytes(name: str) -> Column:
 
 
 def _open_blocks(
-    shared: DataFrame, parts: DataFrame, sketch: DataFrame, config: NearConfig
+    shared: DataFrame, parts: DataFrame, sketch: DataFrame, config: NearConfig, turn: int | None
 ) -> DataFrame:
     """Blocks of the buckets that hold more than one component; a row is its sketch, component, set
-    size and bucket."""
+    size and bucket. In a merging ``turn`` a set goes to a few of its open buckets only, those that come
+    first in an order by hash: alike sets choose alike."""
     placed = shared.join(parts, shared.rep == parts.id, "left").select(
         "key", "rep", F.coalesce("component_id", "rep").alias("component")
     )
@@ -367,7 +370,12 @@ def _open_blocks(
         .filter("lo < hi")
         .select("key")
     )
-    rows = placed.join(open_keys, "key", "left_semi").join(sketch, "rep")
+    rows = placed.join(open_keys, "key", "left_semi")
+    if turn is not None:
+        chosen = Window.partitionBy("rep").orderBy(F.xxhash64(F.lit(turn), "key"), "key")
+        rows = rows.withColumn("_place", F.row_number().over(chosen))
+        rows = rows.filter(F.col("_place") <= config.merge_buckets).drop("_place")
+    rows = rows.join(sketch, "rep")
     data = F.concat("sketch", *[_long_bytes(c) for c in ("component", "n_shingles", "key")])
     named = rows.select(F.col("key").alias("grp"), F.col("rep").alias("id"), data.alias("data"))
     return blocked(named, [F.col("grp"), F.col("id")], "long", config.block)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm.common import scratch_path, shared_dir
 from ebbtide.llm.language import UNDETERMINED, LanguageModel, fit, held_out, predict
 from ebbtide.llm.minhash import near_duplicates
 from ebbtide.llm.mixing import repeated
@@ -49,12 +50,40 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return judged.filter(known).drop("_lang", "_score", "_coverage")
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, or, where an id stands for different texts, a hash of id and text."""
+    spark = docs.sparkSession
+    shared_dir(spark)
+    path, h = scratch_path(spark, "clashes"), F.xxhash64("text")
+    named = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(h).alias("_low"), F.max(h).alias("_high")
+    )
+    # written, so that its size is known; as a rule it is empty
+    named.filter("_low < _high").select(F.col("doc_id").alias("_clash")).write.parquet(path)
+    clashes = spark.read.schema("_clash bigint").parquet(path)
+    own = F.when(F.col("_clash").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "text"))
+    return docs.join(clashes, F.col("doc_id") == F.col("_clash"), "left").withColumn("_key", own).drop("_clash")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id. Of rows that share an id
-    one stays; rows without id belong to no group and all stay."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
+    """Of every group of near-duplicates the document with the smallest id. Of equal rows one stays; of
+    rows that share an id and not the text each belongs to the group of its own text. Rows without id
+    belong to no group and all stay."""
+    keyed = _told_apart(docs)
+    members = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    ids = keyed.filter("doc_id IS NOT NULL").select("_key", F.col("doc_id").alias("_id"))
+    first = (
+        members.filter("doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_key"), "component_id")
+        .distinct()
+        .join(ids.distinct(), "_key")
+        .groupBy("component_id")
+        .agg(F.min_by("_key", F.struct("_id", "_key")).alias("_key"))
+    )
+    one = Window.partitionBy("_key").orderBy(F.xxhash64("text"), "text")
+    named = keyed.join(first.select("_key"), "_key", "left_semi").withColumn(
+        "_row", F.row_number().over(one)
+    )
     return (
         named.filter("_row = 1")
         .select(docs.columns)

@@ -1,8 +1,10 @@
 """Mixing: targets, the schedule, and the words taken."""
 
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.llm.mixing import (
     MixConfig,
@@ -86,6 +88,38 @@ def test_words_taken(docs):
     assert sorted(rows, key=key) == sorted(again, key=key)
 
 
+def plain_mix(rows: list, hashes: dict) -> list:
+    """Words taken of each ``(doc_id, text, source)``: every word of a source as often as its target goes
+    round the source, and one more time up to where it ends, documents in the order of their hashes."""
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
+    goals, out = filled(sizes), []
+    for source, size in sizes.items():
+        own = [(doc, text) for doc, text, s in rows if s == source]
+        own.sort(key=lambda r: ((hashes[r][0] % 2**64 >> 32) % 4096, hashes[r], r[0] is not None, r[0] or 0))
+        words, start = int(goals[source] + 1e-9), 0
+        for doc, text in own:
+            n = len(WORD.findall(text or ""))
+            over = max(0, min(start + n, words % size) - start) if size else 0
+            out.append((doc, n, (words // size) * n + over if size else 0))
+            start += n
+    return out
+
+
+def hashes_of(rows):
+    """Hash of order and of text, by id and text."""
+    text = F.xxhash64("text")
+    found = rows.select("doc_id", "text", F.xxhash64(F.lit(17), "doc_id", text).alias("h"), text.alias("t"))
+    return {(r.doc_id, r.text): (r.h, r.t) for r in found.collect()}
+
+
+def test_words_of_each_document_equal_plain_python(docs):
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    got = Counter((r.doc_id, r["size"], r.taken) for r in mix_documents(docs).collect())
+    assert got == Counter(plain_mix(rows, hashes_of(docs)))
+
+
 def test_schedule_keeps_proportions_in_every_stretch(spark):
     rows = spark.createDataFrame([("a", 60_000), ("b", 90_000), ("c", 150_000)], "source string, size long")
     config = MixConfig(block_words=100)

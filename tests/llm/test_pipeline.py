@@ -1,12 +1,18 @@
 """The corpus pipeline: stage by stage, and as a whole."""
 
 import random
+import re
+import struct
+import zlib
+from collections import Counter
 
 import pytest
+from test_mixing import hashes_of, plain_mix
+from test_secrets import base_spans
 
 import corpus_pipeline as P
 from ebbtide.llm import stages
-from ebbtide.llm.packing import tokenized_pieces
+from ebbtide.llm.packing import tokenized_pieces, vocabulary_path
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -42,9 +48,72 @@ def test_untouched_documents_keep_their_text(passed):
     assert changed.filter("text not like '%[SECRET]%'").count() == 0
 
 
-def test_run_equals_the_stages(spark, small):
-    rows = P.run(spark, small)
-    assert rows.select("sequence_id", "offset").distinct().count() == rows.count() > 0
+def plain_groups(rows):
+    """Of every group of near-duplicates, exact on sets of five words, the row with the smallest id."""
+    sets = {}
+    for doc, text, _ in rows:
+        w = text.translate({c: c + 32 for c in range(65, 91)})
+        w = re.findall(r"[^\x20\x09-\x0D]+", w)
+        sets[doc] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [r for r in rows if find(r[0]) == r[0]]
+
+
+def plain_clean(text):
+    spans = sorted((a, b) for a, _, b in base_spans(text))
+    out, at = [], 0
+    for a, b in spans:
+        if a >= at:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_run_equals_plain_python(spark, small):
+    """All pieces of the small table; it holds no random token beside the base kinds, and all its texts
+    are in one of its languages."""
+    from tokenizers import Tokenizer
+
+    docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    kept = plain_groups([r for r in docs if r[1] is not None and any(c.isalpha() for c in r[1])])
+    clean = [(doc, plain_clean(text), source) for doc, text, source in kept]
+    frame = spark.createDataFrame(clean, "doc_id long, text string, source string")
+    taken = {doc: (n, words) for doc, n, words in plain_mix(clean, hashes_of(frame))}
+    encode = Tokenizer.from_file(vocabulary_path()).encode
+    want = Counter()
+    for doc, text, _ in clean:
+        size, words = taken[doc]
+        times = int(words / size + 0.5) if size else 0
+        ids = [*encode(text, add_special_tokens=False).ids, 0]
+        for start in range(0, len(ids), 1024):
+            piece = ids[start : start + 1024]
+            crc = zlib.crc32(struct.pack(f"<{len(piece)}I", *piece))
+            if times:
+                want[doc, start, len(piece), crc, len(ids)] += times
+    rows = P.run(spark, small).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == want
+    placed = {}
+    for r in rows:
+        placed.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in placed.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
 
 
 ODD = [
@@ -71,6 +140,15 @@ def test_odd_rows_and_clashing_columns(spark):
     assert clean[1].text is None and clean[3].text == "the end of the day"
 
 
+def test_texts_that_share_an_id_stay_apart(spark):
+    prose = lambda tag: " ".join(f"{tag}{i}" for i in range(40))
+    rows = [(7, prose("a"), None, "s", 1), (7, prose("b"), None, "s", 1), (7, prose("b"), None, "s", 1)]
+    rows += [(3, prose("b") + " end", None, "s", 1), (9, prose("a") + " end", None, "s", 1), (4, None, None, "s", 0)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    kept = {(r.doc_id, (r.text or "")[:2]) for r in stages.one_of_each_group(spark, docs, "").collect()}
+    assert kept == {(7, "a0"), (3, "b0"), (4, "")}
+
+
 def test_pipeline_without_languages_keeps_all(spark):
     docs = spark.createDataFrame([(1, "text", None, "a", 4)], COLUMNS)
     assert stages.known_language(spark, docs, "").count() == 1
