@@ -3,7 +3,9 @@ and connected components."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,15 @@ from ebbtide.sources.scratch import remove_path, scratch_path, shared_dir
 __all__ = ["remove_path", "scratch_path", "shared_dir"]
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Rows of two or three numbers that are worth a task of their own.
+ROWS_PER_TASK = 1 << 17
+
+
+def _let_go(spark: SparkSession) -> None:
+    """Lets Spark delete what was shuffled for frames that are of no more use. py4j holds a frame that was
+    run in a cycle, which Python's collector ends; then the driver's collector finds its shuffles."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -23,12 +34,14 @@ def durable(df: DataFrame) -> DataFrame:
     no frame refers to it any more.
 
     What was shuffled on the way is of no more use then. Spark deletes it when the driver's garbage
-    collector finds that out, so that is asked for here and does not wait for a full heap."""
+    collector finds that out, so that is asked for here and does not wait for a full heap: before the
+    work too, as py4j tells the driver up to a second late."""
     spark = df.sparkSession
     shared_dir(spark)
+    _let_go(spark)
     kept = df.checkpoint()
     del df
-    spark._jvm.System.gc()
+    _let_go(spark)
     return kept
 
 
@@ -75,8 +88,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
         yield batch.slice(start)
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a partition reduced to one star per local component."""
+def gathered(kept: DataFrame, rows: int) -> DataFrame:
+    """A ``durable`` frame of that many short rows in no more tasks than they are worth. What a shuffle
+    leaves of a few links is a file, a task and a Python worker a partition, and each of them again in
+    every later step."""
+    return kept.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
+def _forest(batches: Iterator[pa.RecordBatch], roots: bool = False) -> Iterator[pa.RecordBatch]:
+    """Edges of a partition reduced to one star per local component; with ``roots`` the middle of a star
+    is one of its rows."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -88,10 +109,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return root
 
     def stars() -> pa.RecordBatch:
-        pairs = [(x, r) for x in parent if (r := find(x)) != x]
+        pairs = [(x, r) for x in parent if (r := find(x)) != x or roots]
         parent.clear()
         columns = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+        return pa.RecordBatch.from_arrays(columns, names=["id", "component_id"] if roots else ["a", "b"])
 
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -106,14 +127,18 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(id, component_id)`` for the ends of ``edges(a, b)``: the smallest id reachable.
 
-    Partitions first shrink their edges to stars. Then alternating large-star and small-star
-    rounds (Kiveris et al.) hang every vertex on the smallest vertex it knows, until nothing
+    Partitions first shrink their edges to stars. What is left goes to as many tasks as its number asks
+    for, which shrink it again; a single one has joined everything. Of more, alternating large-star and
+    small-star rounds (Kiveris et al.) hang every vertex on the smallest vertex it knows, until nothing
     changes. Each round aggregates with map-side combining and is checkpointed.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    links = durable(
-        pairs.filter("a <> b").mapInArrow(_forest, "a long, b long").distinct()
-    )
+    stars = durable(pairs.filter("a <> b").mapInArrow(_forest, "a long, b long"))
+    rows = stars.count()
+    stars = gathered(stars, rows)
+    if rows <= ROWS_PER_TASK:
+        return durable(stars.mapInArrow(partial(_forest, roots=True), "id long, component_id long"))
+    links = durable(stars.mapInArrow(_forest, "a long, b long").distinct())
 
     def star(links: DataFrame, large: bool) -> DataFrame:
         both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
@@ -145,6 +170,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = links.groupBy("a").agg(F.min("b").alias("component_id"))
-    return roots.select(F.col("a").alias("id"), "component_id").unionByName(
-        links.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
+    return durable(
+        roots.select(F.col("a").alias("id"), "component_id").unionByName(
+            links.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
+        )
     )

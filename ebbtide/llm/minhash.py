@@ -31,7 +31,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.blocks import blocked, met_within, visited, with_itself
-from ebbtide.llm.common import components, durable, mixed, scratch_path, slices, text_bytes
+from ebbtide.llm.common import (
+    components,
+    durable,
+    gathered,
+    mixed,
+    remove_path,
+    scratch_path,
+    slices,
+    text_bytes,
+)
 
 REGISTERS = 128
 REGISTER_BITS = 7
@@ -317,10 +326,10 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     # the best hub of each set; what this leaves apart comes up again below
     best = candidates.groupBy("b").agg(F.max_by("a", F.struct("score", "a")).alias("a"))
     tested = durable(best.select("a", "b"))
-    links = durable(verified(tested, docs, config))
+    tested = gathered(tested, tested.count())
+    parts = components(durable(verified(tested, docs, config)))
     texts = None
     for turn, merging in enumerate([True] * config.merge_rounds + [False]):
-        parts = components(links)
         blocks = durable(_open_blocks(shared, parts, sketch, config, turn if merging else None))
         if blocks.isEmpty():
             break
@@ -329,14 +338,19 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
             path = scratch_path(docs.sparkSession, "open")
             _texts_of(blocks, docs).write.parquet(path)
             texts = docs.sparkSession.read.parquet(path)
-        found = _apart(blocks, config, merging)
-        fresh = durable(found.join(tested, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
+        fresh = durable(_apart(blocks, config, merging).join(tested, ["a", "b"], "left_anti"))
+        del blocks
+        count = fresh.count()
+        if not count:
             continue
+        fresh = gathered(fresh, count)
         new = durable(verified(fresh, texts, config))
-        tested, links = durable(tested.unionByName(fresh)), durable(links.unionByName(new))
-    roots = components(links)
-    named = classes.join(roots, classes.rep == roots.id, "left").select(
+        # the stars stand for all links found before
+        known_links = parts.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+        tested, parts = tested.unionByName(fresh), components(known_links.unionByName(new))
+    if texts is not None:
+        remove_path(docs.sparkSession, path)
+    named = classes.join(parts, classes.rep == parts.id, "left").select(
         "set_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")
     )
     own = F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id")

@@ -1,12 +1,15 @@
 """Near-duplicate documents against brute force."""
 
+import gc
 import random
 import re
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
+from ebbtide.llm import common as C
 from ebbtide.llm import minhash as M
 from ebbtide.llm.common import components
 
@@ -113,3 +116,47 @@ def test_components_of_long_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 181)} | {i: 500 for i in range(500, 600)} | {3: 3, 900: 3}
     assert got == want
     assert components(df.limit(0)).count() == 0
+
+
+def random_edges(n, vertices, seed):
+    rng = random.Random(seed)
+    return [(rng.randrange(vertices), rng.randrange(vertices)) for _ in range(n)] + [(i, i + 1) for i in range(9000, 9080)]
+
+
+def roots_of(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("rows_per_task", [1 << 17, 16])
+def test_few_links_are_few_tasks(spark, monkeypatch, rows_per_task):
+    """Many partitions of a few links end in one task; more links than a task takes give the same."""
+    monkeypatch.setattr(C, "ROWS_PER_TASK", rows_per_task)
+    edges = random_edges(300, 500, 3)
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(40))
+    got = [(r.id, r.component_id) for r in found.collect()]
+    assert len(got) == len(dict(got)) and dict(got) == roots_of(edges)
+    assert rows_per_task == 16 or found.rdd.getNumPartitions() == 1
+
+
+def test_a_frame_that_was_run_is_let_go(spark):
+    """Else the files of its shuffles stay until Python happens to look for cycles."""
+    frames = [spark.range(100).repartition(3).groupBy("id").count()]
+    held = weakref.ref(frames[0]._jdf)
+    gc.disable()
+    try:
+        kept = C.durable(frames.pop())
+        assert held() is None
+    finally:
+        gc.enable()
+    assert kept.count() == 100
