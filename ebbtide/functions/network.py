@@ -119,13 +119,13 @@ def shuffled_batches(
         rows += len(chunk)
         if rows >= buffer + size:
             pool = np.concatenate(held)
-            rng.shuffle(pool)
+            pool = pool[rng.permutation(len(pool))]  # many times faster than a shuffle of rows in place
             whole = len(pool) // size * size
             for start in range(0, whole, size):
                 yield pool[start : start + size]
             held, rows = [pool[whole:]], len(pool) - whole
     if rows:
         pool = np.concatenate(held)
-        rng.shuffle(pool)
+        pool = pool[rng.permutation(len(pool))]
         for start in range(0, len(pool), size):
             yield pool[start : start + size]

@@ -23,6 +23,7 @@ from ebbtide.operators.train import (
 from ebbtide.sources.documents import metrics_document, write_document
 from ebbtide.sources.models import save_model
 from ebbtide.sources.readers import load_features
+from ebbtide.sources.scratch import remove_path, scratch_path
 from ebbtide.sources.writers import write_parquet
 from ebbtide.spec import DatasetSpec
 
@@ -55,8 +56,13 @@ def train_and_evaluate(
 
     With a ``log`` folder every epoch is evaluated and written down as it ends, with ranking metrics;
     training ends early with ``config.patience``, and goes on from the log when it is started again."""
+    spark = known.sparkSession
     cuts = fit_split(known, spec.keys, spec.label, seed=config.seed)
-    tagged = cuts.assign(known)
+    # each of the passes below reads its splits, and takes the hash of no key again
+    tagged_path = scratch_path(spark, "tagged")
+    assigned = cuts.assign(known)
+    write_parquet(assigned, tagged_path, partition_by=["split"])
+    tagged = spark.read.schema(assigned.schema).parquet(tagged_path)
     everything = tagged.unionByName(external.withColumn("split", F.lit(EXTERNAL_TEST)))
     sizes = _materialised(split_sizes(everything))
     training_rows = tagged.filter(F.col("split") == TRAIN).drop("split")
@@ -75,8 +81,14 @@ def train_and_evaluate(
         model = tuned(model, score(validation, model, spec.label), spec.label)
 
     held_out = everything.filter(F.col("split") != TRAIN)
-    scored = score(held_out, model, spec.label)
-    evaluation = _materialised(evaluate(scored, spec.label, ["split"], threshold=model.threshold))
+    # the evaluation counts the scores in more than one scan
+    scored_path = scratch_path(spark, "scored")
+    scored = score(held_out, model, spec.label).select("split", spec.label, "probability", "loss")
+    write_parquet(scored, scored_path)
+    stored = spark.read.schema(scored.schema).parquet(scored_path)
+    evaluation = _materialised(evaluate(stored, spec.label, ["split"], threshold=model.threshold))
+    for path in (tagged_path, scored_path):
+        remove_path(spark, path)
     return Outcome(model, cuts, history, evaluation, sizes)
 
 

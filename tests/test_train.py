@@ -9,6 +9,7 @@ from ebbtide.functions import network
 from ebbtide.operators.scale import Scaler, fit_scaler
 from ebbtide.operators.score import Model, score
 from ebbtide.operators.train import TrainConfig, epoch_history, shard_rows, train
+from ebbtide.plans import training
 from ebbtide.plans.training import train_and_evaluate
 from ebbtide.spec import CHURN, DatasetSpec
 
@@ -148,3 +149,22 @@ def test_learns_with_several_shards(lines):
     assert report["validation"]["f1"] == pytest.approx(best["f1"])
     sizes = {r["split"]: r["row_count"] for r in outcome.sizes.collect()}
     assert sum(sizes.values()) == lines.count()
+
+
+def test_passes_read_what_was_stored(lines, monkeypatch):
+    """The hash of a key and the score of a row are worked out once, not in every later scan."""
+    plans = {}
+    for name in ("shard_rows", "epoch_history", "evaluate"):
+
+        def seen(rows, *args, _name=name, _call=getattr(training, name), **options):
+            plans[_name] = rows._jdf.queryExecution().executedPlan().toString()
+            return _call(rows, *args, **options)
+
+        monkeypatch.setattr(training, name, seen)
+    known = lines.filter("dataset = 'train'").drop("dataset")
+    external = lines.filter("dataset = 'external'").drop("dataset")
+    config = TrainConfig(epochs=1, batch_size=256, rounds_per_epoch=1, shards=2)
+    outcome = train_and_evaluate(known, external, LINES, config)
+    assert all("md5" not in plan and "ArrowEvalPython" not in plan for plan in plans.values()) and len(plans) == 3
+    held_out = {r["split"]: r["row_count"] for r in outcome.evaluation.collect()}
+    assert held_out == {r["split"]: r["row_count"] for r in outcome.sizes.collect() if r["split"] != "training"}
