@@ -22,12 +22,15 @@ BLOCK = "grp {group}, block long, n int, ids binary, data binary"
 Visit = Callable[[np.ndarray, bytes, np.ndarray, bytes, bool], Iterator[dict]]
 
 
-def blocked(rows: DataFrame, order: list[Column], group_type: str, most: int) -> DataFrame:
+def blocked(
+    rows: DataFrame, order: list[Column], group_type: str, most: int, most_bytes: int | None = None
+) -> DataFrame:
     """Blocks of ``rows(grp, id long, data binary)``: ``grp, block, n, ids, data``, sorted by
-    ``order`` inside a group. ``block`` is the smallest id in it; ids are unique within a group."""
+    ``order`` inside a group. ``block`` is the smallest id in it; ids are unique within a group. With
+    ``most_bytes`` a block ends too when its data reach that size."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, ids, data = None, [], []
+        group, ids, data, held = None, [], [], 0
         types = {}
 
         def flushed() -> pa.RecordBatch:
@@ -42,12 +45,14 @@ def blocked(rows: DataFrame, order: list[Column], group_type: str, most: int) ->
         for batch in batches:
             types["grp"] = batch.schema.field(0).type
             for g, i, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if ids and (g != group or len(ids) == most):
+                full = len(ids) == most or (most_bytes is not None and held >= most_bytes)
+                if ids and (g != group or full):
                     yield flushed()
-                    ids, data = [], []
+                    ids, data, held = [], [], 0
                 group = g
                 ids.append(i)
                 data.append(d)
+                held += len(d)
         if ids:
             yield flushed()
 

@@ -13,9 +13,13 @@ with a probability of 5e-8. Then:
    in blocks of a bucket, so that a large one is many tasks. A few merging rounds verify for every set
    only its best partner outside its component, in a few of its buckets; as a rule that joins what
    belongs together.
-4. At last every pair of one bucket that is still apart, promising and not yet tested is verified.
+4. At last the sets that still have promising pairs are put in clusters: what such pairs connect. Of a
+   block's pairs only those go out that connect more of it, fewer than it has rows. A set is in one
+   cluster and goes there whole; blocks of a cluster visit one another, every promising pair still apart
+   is verified on the full sets where the two blocks lie, and only links that join components go out.
 
-So no link is lost, large groups of copies never become all their pairs, and a bucket has no cap.
+So no link is lost, a group of any size never becomes rows of its pairs, linked or not, and a bucket has
+no cap.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.blocks import blocked, met_within, visited, with_itself
+from ebbtide.llm.blocks import Visit, blocked, met_within, visited, with_itself
 from ebbtide.llm.common import (
     components,
     durable,
@@ -51,6 +55,11 @@ SLICE_BYTES = 2 << 20
 MARGIN = 4.9
 #: Pairs of sketches compared at a time.
 PAIRS = 4096
+#: Pairs of texts that are Python strings at a time.
+TEXTS = 256
+#: Bytes of full sets in a block, and members of sets counted at a time.
+SET_BYTES = 4 << 20
+COUNTED = 1 << 18
 
 # A random odd multiplier, its inverse modulo 2**64, and a multiplier for chaining.
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -261,7 +270,11 @@ def verified(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame
 
     def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
-            yield pa.array(_linked(left.to_pylist(), right.to_pylist(), shingle, percent), pa.bool_())
+            flags: list[bool] = []
+            for low in range(0, len(left), TEXTS):
+                some = [side[low : low + TEXTS].to_pylist() for side in (left, right)]
+                flags.extend(_linked(*some, shingle, percent))
+            yield pa.array(flags, pa.bool_())
 
     linked.__annotations__ = {
         "batches": Iterator[tuple[pa.Array, pa.Array]],
@@ -303,14 +316,13 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     hub_pairs = shared.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     percent = config.percent
 
-    @F.pandas_udf("double")
-    def reach(left, right, n_left, n_right):
-        import pandas as pd
-
-        a = np.frombuffer(b"".join(left), np.uint16).reshape(-1, REGISTERS)
-        b = np.frombuffer(b"".join(right), np.uint16).reshape(-1, REGISTERS)
+    def reach(left: pa.Array, right: pa.Array, n_left: pa.Array, n_right: pa.Array) -> pa.Array:
+        a = np.frombuffer(b"".join(left.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        b = np.frombuffer(b"".join(right.to_pylist()), np.uint16).reshape(-1, REGISTERS)
         close, used = estimates(a, b, n_left.to_numpy(), n_right.to_numpy())
-        return pd.Series(np.where(promising(close, used, percent), close, -1.0))
+        return pa.array(np.where(promising(close, used, percent), close, -1.0))
+
+    reach = F.arrow_udf(reach, "double")
 
     sketch = classes.select("rep", "sketch", "n_shingles")
     side = lambda c: sketch.select(*[F.col(x).alias(f"{c}{x}") for x in sketch.columns])
@@ -328,27 +340,35 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     tested = durable(best.select("a", "b"))
     tested = gathered(tested, tested.count())
     parts = components(durable(verified(tested, docs, config)))
-    texts = None
-    for turn, merging in enumerate([True] * config.merge_rounds + [False]):
-        blocks = durable(_open_blocks(shared, parts, sketch, config, turn if merging else None))
+    path = None
+    for turn in [*range(config.merge_rounds), None]:
+        blocks = durable(_open_blocks(shared, parts, sketch, config, turn))
         if blocks.isEmpty():
             break
-        if texts is None:
+        if path is None:
             # only these documents can still be compared; their texts are all that later steps read
             path = scratch_path(docs.sparkSession, "open")
             _texts_of(blocks, docs).write.parquet(path)
             texts = docs.sparkSession.read.parquet(path)
-        fresh = durable(_apart(blocks, config, merging).join(tested, ["a", "b"], "left_anti"))
+        # the stars stand for all links found before
+        known_links = parts.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+        if turn is None:
+            clusters = components(_connected(blocks, config))
+            del blocks
+            if clusters.isEmpty():
+                break
+            new = _joining(clusters, classes, parts, texts, config)
+            parts = components(known_links.unionByName(new))
+            break
+        fresh = durable(_best_apart(blocks, config).join(tested, ["a", "b"], "left_anti"))
         del blocks
         count = fresh.count()
         if not count:
             continue
         fresh = gathered(fresh, count)
         new = durable(verified(fresh, texts, config))
-        # the stars stand for all links found before
-        known_links = parts.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
         tested, parts = tested.unionByName(fresh), components(known_links.unionByName(new))
-    if texts is not None:
+    if path is not None:
         remove_path(docs.sparkSession, path)
     named = classes.join(parts, classes.rep == parts.id, "left").select(
         "set_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")
@@ -412,26 +432,36 @@ def _block_columns(raw, n: int) -> tuple[np.ndarray, ...]:
     return np.ascontiguousarray(rows[:, : REGISTERS * 2]).view(np.uint16), *tail.T
 
 
-def _apart(blocks: DataFrame, config: NearConfig, best: bool) -> DataFrame:
-    """Promising pairs ``a, b`` of one bucket and different components: with ``best`` for every set the
-    one with the highest estimate, else all, each in the first bucket that the two share."""
+def _apart(part_a, part_b, n_a, n_b, percent: int) -> np.ndarray:
+    """Which pairs are of different components and not ruled out by the sizes of their sets alone."""
+    near = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    return (part_a != part_b) & near
+
+
+def _met(blocks: DataFrame, visit: Visit, schema: str) -> DataFrame:
+    """``visit`` of every block to itself and to the others of its group, each pair once."""
+    found = with_itself(blocks, visit, schema)
+    # most groups are one block
+    across = durable(met_within(blocks).filter("host < block"))
+    if across.isEmpty():
+        return found
+    return found.unionByName(visited(blocks, blocks, across, visit, schema))
+
+
+def _best_apart(blocks: DataFrame, config: NearConfig) -> DataFrame:
+    """For every set the promising pair ``a, b`` of one bucket and different components that has the
+    highest estimate."""
     percent = config.percent
 
     def compare(host_ids, host_data, ids, data, same):
-        sketch_a, part_a, n_a, key = _block_columns(host_data, len(host_ids))
+        sketch_a, part_a, n_a, _ = _block_columns(host_data, len(host_ids))
         sketch_b, part_b, n_b, _ = _block_columns(data, len(ids))
-        if not best:
-            keys_a, used_a = band_keys(sketch_a)
-            keys_b, used_b = band_keys(sketch_b)
         top_a, top_b = np.full(len(host_ids), -1.0), np.full(len(ids), -1.0)
         mate_a, mate_b = host_ids.copy(), ids.copy()
         rows = max(1, PAIRS // len(ids))
         for low in range(0, len(host_ids), rows):
             here = slice(low, low + rows)
-            # sizes alone rule out many
-            other = (part_a[here, None] != part_b) & (
-                100 * np.minimum(n_a[here, None], n_b) >= percent * np.maximum(n_a[here, None], n_b)
-            )
+            other = _apart(part_a[here, None], part_b, n_a[here, None], n_b, percent)
             if same:
                 other &= np.arange(low, low + len(other))[:, None] < np.arange(len(ids))
             x, y = np.nonzero(other)
@@ -441,27 +471,146 @@ def _apart(blocks: DataFrame, config: NearConfig, best: bool) -> DataFrame:
             close, used = estimates(sketch_a[x], sketch_b[y], n_a[x], n_b[y])
             good = promising(close, used, percent)
             x, y, close = x[good], y[good], close[good]
-            if not best:
-                equal = (keys_a[x] == keys_b[y]) & used_a[x] & used_b[y]
-                own = keys_a[x, equal.argmax(axis=1)] == key[x]
-                yield {"a": host_ids[x[own]], "b": ids[y[own]], "score": close[own]}
-                continue
             order = np.argsort(close)  # of values for one place the last, the largest, stays
             x, y, close = x[order], y[order], close[order]
             for top, mate, at, names in ((top_a, mate_a, x, ids[y]), (top_b, mate_b, y, host_ids[x])):
                 better = close > top[at]
                 top[at[better]], mate[at[better]] = close[better], names[better]
-        if best:
-            for own, mate, top in ((host_ids, mate_a, top_a), (ids, mate_b, top_b)):
-                found = np.flatnonzero(top >= 0)
-                yield {"a": own[found], "b": mate[found], "score": top[found]}
-
-    schema = "a long, b long, score double"
-    found = with_itself(blocks, compare, schema)
-    # most buckets are one block
-    across = durable(met_within(blocks).filter("host < block"))
-    if not across.isEmpty():
-        found = found.unionByName(visited(blocks, blocks, across, compare, schema))
-    if best:
-        found = found.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
+        for own, mate, top in ((host_ids, mate_a, top_a), (ids, mate_b, top_b)):
+            found = np.flatnonzero(top >= 0)
+            yield {"a": own[found], "b": mate[found], "score": top[found]}
+
+    found = _met(blocks, compare, "a long, b long, score double")
+    found = found.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _connected(blocks: DataFrame, config: NearConfig) -> DataFrame:
+    """Promising pairs ``a, b`` of one bucket and different components that connect all sets which such
+    pairs connect; two blocks give fewer pairs than they have rows."""
+    percent = config.percent
+
+    def compare(host_ids, host_data, ids, data, same):
+        sketch_a, part_a, n_a, _ = _block_columns(host_data, len(host_ids))
+        sketch_b, part_b, n_b, _ = _block_columns(data, len(ids))
+        shift = 0 if same else len(host_ids)
+        label = np.arange(shift + len(ids))  # rows of one label are connected already
+        rows = max(1, PAIRS // len(ids))
+        for low in range(0, len(host_ids), rows):
+            here = slice(low, low + rows)
+            other = label[: len(host_ids)][here, None] != label[shift:]
+            other &= _apart(part_a[here, None], part_b, n_a[here, None], n_b, percent)
+            if same:
+                other &= np.arange(low, low + len(other))[:, None] < np.arange(len(ids))
+            x, y = np.nonzero(other)
+            if not len(x):
+                continue
+            x += low
+            good = promising(*estimates(sketch_a[x], sketch_b[y], n_a[x], n_b[y]), percent)
+            x, y = x[good], y[good]
+            ends_a, ends_b = [], []
+            while len(x):
+                ends_a.append(host_ids[x[0]])
+                ends_b.append(ids[y[0]])
+                label[label == label[shift + y[0]]] = label[x[0]]
+                left = label[x] != label[shift + y]
+                x, y = x[left], y[left]
+            if ends_a:
+                yield {"a": np.array(ends_a, np.int64), "b": np.array(ends_b, np.int64)}
+
+    return _met(blocks, compare, "a long, b long")
+
+
+def _full_sets(docs: DataFrame, config: NearConfig) -> DataFrame:
+    """``rep, set_id, members``: the sorted shingle hashes of every document."""
+
+    def emit(ids: pa.Array, flat: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
+        raw = [flat[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:], strict=True)]
+        named = [hashlib.md5(r, usedforsecurity=False).digest() if r else None for r in raw]
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(named, pa.binary()), pa.array(raw, pa.binary())],
+            names=["rep", "set_id", "members"],
+        )
+
+    return _texts(docs, config, emit, "rep long, set_id binary, members binary")
+
+
+def _set_columns(raw, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sketches, components, set sizes, borders and members of the sets of a block."""
+    rows = np.frombuffer(raw, np.uint8)
+    fixed = REGISTERS * 2 + 16
+    heads, members, at = np.empty((n, fixed), np.uint8), [], 0
+    sizes = np.empty(n, np.int64)
+    for i in range(n):
+        heads[i] = rows[at : at + fixed]
+        sizes[i] = int.from_bytes(heads[i, -8:].tobytes(), "big")
+        at += fixed
+        members.append(rows[at : at + 8 * sizes[i]])
+        at += 8 * int(sizes[i])
+    part = np.ascontiguousarray(heads[:, -16:-8]).view(">i8")[:, 0].astype(np.int64)
+    sketch = np.ascontiguousarray(heads[:, : REGISTERS * 2]).view(np.uint16)
+    borders = np.concatenate([[0], np.cumsum(sizes)])
+    return sketch, part, sizes, borders, np.concatenate(members).view(np.uint64)
+
+
+def _joining(
+    clusters: DataFrame, classes: DataFrame, parts: DataFrame, docs: DataFrame, config: NearConfig
+) -> DataFrame:
+    """Links ``a, b`` between components that join all components which confirmed pairs inside a cluster
+    join; two blocks give fewer links than they have components."""
+    percent = config.percent
+    sets = _full_sets(docs.join(clusters.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), config)
+    rows = (
+        classes.join(clusters.select(F.col("id").alias("rep"), F.col("component_id").alias("grp")), "rep")
+        .join(parts.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
+        .join(sets, ["rep", "set_id"])
+        .dropDuplicates(["set_id", "n_shingles"])
+        .withColumn("component", F.coalesce("component_id", "rep"))
+        .withColumn("id", F.xxhash64("set_id"))
+    )
+    data = F.concat("sketch", *[_long_bytes(c) for c in ("component", "n_shingles")], "members")
+    named = rows.select("grp", "id", data.alias("data"))
+    blocks = durable(blocked(named, [F.col("grp"), F.col("id")], "long", config.block, SET_BYTES))
+
+    def compare(host_ids, host_data, ids, data, same):
+        sketch_a, part_a, n_a, at_a, members_a = _set_columns(host_data, len(host_ids))
+        sketch_b, part_b, n_b, at_b, members_b = _set_columns(data, len(ids))
+        known, code_b = np.unique(members_b, return_inverse=True)
+        names, label = np.unique(np.concatenate([part_a, part_b]), return_inverse=True)
+        label_a, label_b = label[: len(part_a)], label[len(part_a) :]
+        joined = np.arange(len(names))  # components of one value are joined already
+        for i in range(len(host_ids)):
+            apart = _apart(joined[label_a[i]], joined[label_b], n_a[i], n_b, percent)
+            if same:
+                apart[: i + 1] = False
+            y = np.flatnonzero(apart)
+            if not len(y):
+                continue
+            close = estimates(sketch_a[i], sketch_b[y], n_a[i], n_b[y])
+            y = y[promising(*close, percent)]
+            if not len(y):
+                continue
+            own = members_a[at_a[i] : at_a[i + 1]]
+            place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            mark = np.zeros(len(known), bool)
+            mark[place[known[place] == own]] = True
+            step = max(1, COUNTED // int(n_b[y].max()))
+            for low in range(0, len(y), step):
+                some = y[low : low + step]
+                some = some[joined[label_b[some]] != joined[label_a[i]]]
+                if not len(some):
+                    continue
+                ends = np.cumsum(n_b[some])
+                begins = ends - n_b[some]
+                which = np.arange(ends[-1]) + np.repeat(at_b[some] - begins, n_b[some])
+                common = np.add.reduceat(mark[code_b[which]], begins, dtype=np.int64)
+                linked = some[100 * common >= percent * (n_a[i] + n_b[some] - common)]
+                ends_b = []
+                for other in np.unique(label_b[linked]):
+                    if joined[other] != joined[label_a[i]]:
+                        ends_b.append(names[other])
+                        joined[joined == joined[other]] = joined[label_a[i]]
+                if ends_b:
+                    yield {"a": np.full(len(ends_b), part_a[i]), "b": np.array(ends_b, np.int64)}
+
+    return durable(_met(blocks, compare, "a long, b long"))

@@ -73,6 +73,41 @@ def test_equals_brute_force(spark, seed, k, block):
     assert M.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_last_step_alone_equals_brute_force(spark, monkeypatch):
+    """Without merging rounds all that the hubs leave apart is found in clusters of several blocks."""
+    monkeypatch.setattr(M, "SET_BYTES", 4000)
+    monkeypatch.setattr(M, "COUNTED", 300)
+    rows = rows_for(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = M.near_duplicates(df, M.NearConfig(shingle=2, block=8, merge_rounds=0)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 2)
+
+
+@pytest.mark.parametrize("rate", [0.05, 0.03])
+def test_a_group_of_near_copies_never_becomes_its_pairs(spark, monkeypatch, rate):
+    """Most pairs of the group are promising, few or none reach the threshold."""
+    rng, n = random.Random(5), 300
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(f"x{rng.random()}" if rng.random() < rate else w for w in base)) for i in range(n)]
+    sent, verify, across = [], M.verified, []
+
+    def verified(pairs, docs, config):
+        sent.append(pairs.count())
+        return verify(pairs, docs, config)
+
+    def components(edges):
+        across.append(edges.count())
+        return C.components(edges)
+
+    monkeypatch.setattr(M, "verified", verified)
+    monkeypatch.setattr(M, "components", components)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = M.near_duplicates(df, M.NearConfig(shingle=2)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 2)
+    assert sent and max(sent) <= n
+    assert max(across) <= n * M.REGISTERS // M.BAND < n * n // 4
+
+
 def test_long_text_beside_short_ones(spark):
     text = " ".join(f"v{i}" for i in range(60_000))
     rows = [(1, text), (2, text + " tail"), (3, "short")]
